@@ -77,12 +77,24 @@ def create_star(spark: SparkSession, db: str, location: str) -> None:
         frame.write.insertInto(f"{db}.{name}", overwrite=True)
 
 
-def load(df: DataFrame, table: str) -> None:
-    """Insert a frame by column name, replacing the partitions it holds."""
-    target = df.sparkSession.table(table).columns
-    df.select(*target).write.option("partitionOverwriteMode", "dynamic").insertInto(
-        table, overwrite=True
-    )
+def load(df: DataFrame, table: str, partition: dict[str, object] | None = None) -> None:
+    """Insert a frame by column name, replacing the table or one partition of it.
+
+    ``partition`` fixes leading partition columns, e.g. the date: exactly that
+    slice is replaced, whatever classes it held before.
+    """
+    spark = df.sparkSession
+    partition = partition or {}
+    names = spark.table(table).columns
+    chosen = ", ".join(f"`{c}`" for c in names if c not in partition)
+    where = ""
+    if partition:
+        by = [f.name for f in spark.catalog.listColumns(table) if f.isPartition]
+        spec = [
+            f"`{c}` = '{partition[c]}'" if c in partition else f"`{c}`" for c in by
+        ]
+        where = f" PARTITION ({', '.join(spec)})"
+    spark.sql(f"INSERT OVERWRITE TABLE {table}{where} SELECT {chosen} FROM {{rows}}", rows=df)
 
 
 def analyze(spark: SparkSession, table: str, columns: Sequence[str]) -> DataFrame:

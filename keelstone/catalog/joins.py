@@ -32,14 +32,14 @@ def collateral_usd(spark, d):
 
 def hot(spark, d, key="customer_id"):
     """Hot keys of the raw loans, counted on the one column they need."""
-    return joins.hot_keys(tv.loans(spark, d, with_customer=False), key, tv.HOT_THRESHOLD)
+    return joins.hot_keys(tv.loan_keys(spark, d), key, tv.HOT_THRESHOLD)
 
 
 def exposed(spark, d):
     """Loans through rating, exposure and mitigation."""
     enriched = joins.enrich(
         loans_usd(spark, d), tv.clean_ratings(spark, d), collateral_usd(spark, d),
-        threshold=tv.HOT_THRESHOLD, profile=tv.loans(spark, d, with_customer=False),
+        threshold=tv.HOT_THRESHOLD, profile=tv.loan_keys(spark, d),
     )
     return det.with_mitigation(det.with_exposure(det.with_rating(enriched)))
 
@@ -158,7 +158,7 @@ def collateral(spark, d):
 )
 def attach_ratings(spark, d):
     loans = tv.loans(spark, d, with_customer=False).select("loan_id", "customer_id")
-    return joins.attach_rating(loans, tv.clean_ratings(spark, d), hot=hot(spark, d)).select(
+    return joins.attach_rating(loans, tv.clean_ratings(spark, d)).select(
         "loan_id", "customer_id", "rating", "rating_numeric"
     )
 
@@ -267,7 +267,7 @@ def enrich(spark, d):
     out = joins.enrich(
         loans_usd(spark, d), tv.clean_ratings(spark, d), collateral_usd(spark, d),
         counterparty=tv.counterparty(spark, d), threshold=tv.HOT_THRESHOLD,
-        profile=tv.loans(spark, d, with_customer=False),
+        profile=tv.loan_keys(spark, d),
     )
     return out.select(
         "loan_id", "customer_id", "collateral_id", "country_code", "currency",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from keelstone import schemas
 from keelstone.catalog.book import Book, plain
 from keelstone.catalog.sqlparts import RUN, sql
+from keelstone.functions.codes import recode
 from keelstone.operators import filters, standardise as std
 from keelstone.sources import testviews as tv
 
@@ -201,9 +202,6 @@ FX_HISTORY_SQL = """
 
 def fx_history(spark, d):
     """FX rates that move with the given tables."""
-    base = F.map_from_arrays(
-        F.array(*[F.lit(p[:3]) for p, _ in tv.FX_RATES]), F.array(*[F.lit(r) for _, r in tv.FX_RATES])
-    )
     month = F.trunc("origination_date", "month")
     counted = (
         tv.loans(spark, d)
@@ -211,7 +209,7 @@ def fx_history(spark, d):
         .groupBy("currency", month.alias("date"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    rate = F.element_at(base, F.col("currency")) * (980 + F.col("n") % 41) / F.lit(1000.0)
+    rate = recode(F.col("currency"), {p[:3]: r for p, r in tv.FX_RATES}) * (980 + F.col("n") % 41) / F.lit(1000.0)
     return counted.select(
         F.concat(F.col("currency"), F.lit("USD")).alias("currency_pair"),
         rate.alias("rate"),

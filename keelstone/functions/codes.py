@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from keelstone import params
+from keelstone.functions.literals import literal_map
 
 
 def clean_code(code: Column) -> Column:
@@ -16,12 +17,7 @@ def clean_code(code: Column) -> Column:
 
 def recode(code: Column, table: Mapping[str, object], default: object = None) -> Column:
     """Look ``code`` up in a small fixed table; absent or NULL gives ``default``."""
-    found = F.try_element_at(
-        F.map_from_arrays(
-            F.array(*[F.lit(k) for k in table]), F.array(*[F.lit(v) for v in table.values()])
-        ),
-        code,
-    )
+    found = F.try_element_at(literal_map(table), code)
     return found if default is None else F.coalesce(found, F.lit(default))
 
 

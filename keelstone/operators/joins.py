@@ -160,24 +160,28 @@ def attach_collateral(
 
 
 def attach_rating(
-    loans: DataFrame, ratings: DataFrame, policy: str = DEFAULTS.rating_policy, **skew_options
+    loans: DataFrame, ratings: DataFrame, policy: str = DEFAULTS.rating_policy
 ) -> DataFrame:
-    """One external rating per loan; customers rated by several agencies do not fan out."""
+    """One external rating per loan; customers rated by several agencies do not fan out.
+
+    The reduced ratings are the smallest side (well below a hundredth of the loans),
+    so this is a plain join without a hint: Spark compares their size with
+    ``spark.sql.autoBroadcastJoinThreshold`` and broadcasts them, or else sorts and
+    merges, where adaptive execution splits a hot customer.
+    """
     side = rating_per_customer(ratings, policy).select("customer_id", "rating", "rating_numeric")
-    return skew_join(loans, side, "customer_id", "loan_id", **skew_options)
+    return loans.join(side, "customer_id", "left")
 
 
 def customer_side(
-    ratings: DataFrame, counterparty: DataFrame | None = None, policy: str = DEFAULTS.rating_policy
+    ratings: DataFrame, counterparty: DataFrame, policy: str = DEFAULTS.rating_policy
 ) -> DataFrame:
-    """Everything joined by customer, in one table.
+    """Counterparty and rating in one table.
 
-    Counterparty and rating share the customer key, so they are joined to each
-    other first (small side) and the loans are shuffled by customer only once.
+    They share the customer key, so they are joined to each other first (small
+    sides) and the loans are shuffled by customer only once.
     """
     rated = rating_per_customer(ratings, policy).select("customer_id", "rating", "rating_numeric")
-    if counterparty is None:
-        return rated
     known = prefixed(one_per_key(counterparty, "customer_id"), "customer_id", "cpty_")
     return known.join(rated, "customer_id", "full_outer")
 
@@ -195,20 +199,24 @@ def enrich(
     """Loans with counterparty, rating and collateral: exactly one row per loan.
 
     Both joins are against sides reduced to one row per key, and both are left
-    joins, so the number of loans cannot change. Two shuffles of the loans.
+    joins, so the number of loans cannot change. The loans are shuffled once by
+    collateral and, when the counterparty is wanted, once by customer.
 
     The hot keys are counted on ``profile`` (default: the loans). Any frame with
     the two key columns will do, such as the stored table the loans were made
     from: the choice affects how rows are spread, never which rows match.
     """
     profile = loans if profile is None else profile
-    customers = customer_side(ratings, counterparty, settings.rating_policy)
-    with_customer = skew_join(
-        loans, customers, "customer_id", "loan_id", threshold, salts,
-        hot=hot_keys(profile, "customer_id", threshold, salts),
-    )
+    if counterparty is None:
+        known = attach_rating(loans, ratings, settings.rating_policy)
+    else:
+        known = skew_join(
+            loans, customer_side(ratings, counterparty, settings.rating_policy),
+            "customer_id", "loan_id",
+            hot=hot_keys(profile, "customer_id", threshold, salts),
+        )
     return skew_join(
-        with_customer, collateral_side(collateral), "collateral_id", "loan_id", threshold, salts,
+        known, collateral_side(collateral), "collateral_id", "loan_id",
         hot=hot_keys(profile, "collateral_id", threshold, salts),
     )
 

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelstone.functions.literals import literal_array
 from keelstone.operators import aggregates
 from keelstone.sources.reference import literal_table
 
@@ -109,7 +110,7 @@ class Draw:
 
     def choice(self, field: str, values: Sequence[str]) -> Column:
         index = self.below(field, len(values)).cast("int") + 1
-        return F.element_at(F.array(*[F.lit(v) for v in values]), index)
+        return F.element_at(literal_array(values), index)
 
     def weighted(self, field: str, weights: dict[str, int]) -> Column:
         """A value chosen by weights that add up to 100."""
@@ -257,7 +258,7 @@ def ratings(numbers: DataFrame, seed: int = 42) -> DataFrame:
     index = ((F.col("step") + first) % len(AGENCIES)).cast("int") + 1
     return (
         rated.select("id", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("step"))
-        .withColumn("agency", F.element_at(F.array(*[F.lit(a) for a in AGENCIES]), index))
+        .withColumn("agency", F.element_at(literal_array(AGENCIES), index))
         .select(
             F.format_string("C%06d", "id").alias("customer_id"),
             F.col("agency").alias("rating_agency"),

@@ -14,20 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelstone import params
-
-
-def _sql_literal(value: object) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, bool):
-        return "TRUE" if value else "FALSE"
-    if isinstance(value, dt.date):
-        return f"DATE'{value.isoformat()}'"
-    if isinstance(value, float):
-        return f"{value!r}D"
-    if isinstance(value, int):
-        return str(value)
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+from keelstone.functions.literals import sql_literal
 
 
 def literal_table(
@@ -37,9 +24,10 @@ def literal_table(
     rows = list(rows)
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in columns])
-    body = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
-    raw = spark.sql(f"VALUES {body}").toDF(*[n for n, _ in columns])
-    return raw.select(*[F.col(n).cast(t).alias(n) for n, t in columns])
+    body = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f"`{n}`" for n, _ in columns)
+    typed = ", ".join(f"CAST(`{n}` AS {t}) AS `{n}`" for n, t in columns)
+    return spark.sql(f"SELECT {typed} FROM VALUES {body} AS t({names})")
 
 
 def risk_weights(spark: SparkSession, table=None) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelstone import params
+from keelstone.functions.codes import recode
+from keelstone.functions.literals import literal_array
 from keelstone.operators import detail as detail_ops
 from keelstone.operators import standardise
 from keelstone.params import DEFAULTS, Settings
@@ -34,12 +36,28 @@ AGENCIES = {"click": "S&P", "view": "MOODY", "signup": "FITCH", "purchase": "S&P
 FX_RATES = [("EURUSD", 1.10), ("GBPUSD", 1.27), ("JPYUSD", 0.0067), ("CNYUSD", 0.14)]
 
 
+# Schemas of the given tables, so that opening one reads no file footers.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.element_at(literal_array(values), (index + 1).cast("int"))
 
 
 def loans(
@@ -74,6 +92,15 @@ def loans(
     )
 
 
+def loan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two join keys of every loan: what it takes to find hot keys."""
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_id"),
+        F.when(key % 2 == 0, key % 200).alias("collateral_id"),
+    )
+
+
 def counterparty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
@@ -97,12 +124,9 @@ def collateral(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kinds = F.map_from_arrays(
-        F.array(*[F.lit(k) for k in AGENCIES]), F.array(*[F.lit(v) for v in AGENCIES.values()])
-    )
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("customer_id"),
-        F.try_element_at(kinds, F.col("event_type")).alias("rating_agency"),
+        recode(F.col("event_type"), AGENCIES).alias("rating_agency"),
         pick(list(params.RATING_SCALE), F.col("event_id") % 22).alias("rating"),
         F.col("ts").cast("date").alias("rating_date"),
         F.col("event_id"),
@@ -160,6 +184,6 @@ def fact(
         as_of,
         settings,
         threshold=HOT_THRESHOLD,
-        profile=loans(spark, sf_dir, with_customer=False),
+        profile=loan_keys(spark, sf_dir),
         **options,
     )

@@ -1,8 +1,8 @@
 """All registered queries and their comparison SQL."""
 
-from keelstone.catalog import joins, standardise
+from keelstone.catalog import checks, joins, reports, standardise
 
-BOOKS = [standardise.book, joins.book]
+BOOKS = [standardise.book, joins.book, reports.book, checks.book]
 
 
 def all_queries():

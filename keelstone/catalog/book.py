@@ -31,8 +31,17 @@ class Book:
 
 
 def rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
-    """Round the named measures, so that sums in any order compare equal."""
-    return df.withColumns({c: F.round(F.col(c).cast("double"), d) for c, d in digits.items()})
+    """Round the named measures, so that sums in any order compare equal.
+
+    Scaled first and rounded to a whole number, as most engines round a double;
+    rounding at a decimal place would treat a printed ...5 as an exact half.
+    """
+
+    def places(column: str, d: int):
+        scale = F.lit(10.0**d)
+        return F.round(F.col(column).cast("double") * scale) / scale
+
+    return df.withColumns({c: places(c, d) for c, d in digits.items()})
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """All registered queries and their comparison SQL."""
 
-from keelstone.catalog import checks, joins, reports, standardise
+from keelstone.catalog import checks, extras, joins, reports, standardise, storage
 
-BOOKS = [standardise.book, joins.book, reports.book, checks.book]
+BOOKS = [
+    standardise.book, joins.book, reports.book, checks.book, storage.book, extras.book,
+]
 
 
 def all_queries():

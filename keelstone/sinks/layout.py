@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelstone.functions.literals import literal_array
+
 
 def ordinal(df: DataFrame, column: str) -> Column:
     """An order-keeping number for a value: itself, or the first seven bytes of text."""
@@ -24,15 +26,17 @@ def ordinal(df: DataFrame, column: str) -> Column:
     return value.cast("double")
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
-    """Interleaved bits of the columns' quantile ranks.
+def with_z_value(
+    df: DataFrame, columns: Sequence[str], bits: int = 8, out: str = "_z"
+) -> DataFrame:
+    """Add the interleaved bits of the columns' quantile ranks.
 
     One aggregation finds up to ``2^bits`` quantile bounds per column; a value's
     rank is the number of bounds below it. Few distinct values give few bounds,
     so the rank is dense either way, and no column is ranked by a global window.
     """
-    marks = F.array(*[F.lit(i / 2**bits) for i in range(1, 2**bits)])
-    bounds = df.agg(
+    marks = literal_array(i / 2**bits for i in range(1, 2**bits))
+    quantiles = df.agg(
         F.struct(
             *[
                 F.array_distinct(F.percentile_approx(ordinal(df, c), marks, F.lit(10_000))).alias(c)
@@ -40,27 +44,34 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
             ]
         )
     ).scalar()
-    pieces = []
-    for position, c in enumerate(columns):
+    # ranks get a projection of their own, so that each is computed once per row
+    ranks = {}
+    for c in columns:
         value = ordinal(df, c)
-        below = F.size(F.filter(bounds.getField(c), lambda b, v=value: b < v))
-        rank = F.coalesce(below, F.lit(0)).cast("long")
-        pieces += [
-            F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long")),
-                        bit * len(columns) + position)
-            for bit in range(bits)
-        ]
-    return reduce(lambda a, b: a.bitwiseOR(b), pieces)
+        below = F.size(F.filter(F.col("_bounds").getField(c), lambda b, v=value: b < v))
+        ranks[f"_rank_{c}"] = F.coalesce(below, F.lit(0)).cast("long")
+    ranked = df.withColumn("_bounds", quantiles).withColumns(ranks)
+    one = F.lit(1).cast("long")
+    pieces = [
+        F.shiftleft(
+            F.shiftright(F.col(f"_rank_{c}"), bit).bitwiseAND(one), bit * len(columns) + position
+        )
+        for position, c in enumerate(columns)
+        for bit in range(bits)
+    ]
+    z = reduce(lambda a, b: a.bitwiseOR(b), pieces)
+    return ranked.select(*df.columns, z.alias(out))
 
 
 def cluster(df: DataFrame, columns: Sequence[str], files: int, bits: int = 8) -> DataFrame:
     """Rows in ``files`` ranges of the Z-order, sorted within each.
 
     Rows with equal values have the same Z-value; a row hash as second range key
-    lets such a group, however large, be cut between files.
+    lets such a group, however large, be cut between files. Spark samples the
+    frame to place the ranges, so give it a stored table, not a long computation.
     """
     tie = F.xxhash64(*df.columns)
-    placed = df.withColumns({"_z": z_value(df, columns, bits), "_tie": tie})
+    placed = with_z_value(df, columns, bits).withColumn("_tie", tie)
     return (
         placed.repartitionByRange(files, "_z", "_tie")
         .sortWithinPartitions("_z", *columns)

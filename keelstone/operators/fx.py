@@ -57,4 +57,4 @@ def to_reporting_ccy(
     joined = df.join(rates, F.col(currency) == F.col("fx_currency"), "left")
     factor = num.rate(F.coalesce(F.col("fx_rate"), absent))
     value = num.money(num.money(F.col(amount)) * factor)
-    return joined.select(*[c for c in df.columns if c != out], value.alias(out))
+    return joined.withColumn(out, value).drop("fx_currency", "fx_rate")

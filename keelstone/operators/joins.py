@@ -73,7 +73,7 @@ def salt_rows(
         F.pmod(spread, F.coalesce(F.col("n_salts"), F.lit(1)).cast("long"))
     )
     marked = df.join(F.broadcast(hot.select(key, "n_salts")), key, "left")
-    return marked.select(*df.columns, value.alias(salt))
+    return marked.withColumn(salt, value).drop("n_salts")
 
 
 def replicate_rows(df: DataFrame, hot: DataFrame, key: str, salt: str = "_salt") -> DataFrame:
@@ -85,7 +85,7 @@ def replicate_rows(df: DataFrame, hot: DataFrame, key: str, salt: str = "_salt")
     marked = df.join(F.broadcast(hot.select(key, "n_salts")), key, "left")
     last = F.coalesce(F.col("n_salts"), F.lit(1)).cast("long") - F.lit(1)
     salts = F.explode(F.sequence(F.lit(0).cast("long"), last))
-    return marked.select(*df.columns, salts.alias(salt))
+    return marked.withColumn(salt, salts).drop("n_salts")
 
 
 def skew_join(
@@ -229,7 +229,7 @@ def attach_ccf(
 ) -> DataFrame:
     rate = num.ratio(F.coalesce(F.col("ccf"), F.lit(settings.default_ccf)))
     joined = df.join(F.broadcast(ccf), "exposure_type", "left")
-    return joined.select(*df.columns, rate.alias("credit_conversion_factor"))
+    return joined.withColumn("credit_conversion_factor", rate).drop("ccf")
 
 
 def attach_risk_weight(
@@ -239,7 +239,7 @@ def attach_risk_weight(
     found = weights.select("asset_class", "rating_bucket", F.col("risk_weight").alias("_weight"))
     weight = num.ratio(F.coalesce(F.col("_weight"), F.lit(settings.default_weight)))
     joined = df.join(F.broadcast(found), ["asset_class", "rating_bucket"], "left")
-    return joined.select(*df.columns, weight.alias("risk_weight"))
+    return joined.withColumn("risk_weight", weight).drop("_weight")
 
 
 def attach_lgd(
@@ -247,7 +247,7 @@ def attach_lgd(
 ) -> DataFrame:
     rate = num.ratio(F.coalesce(F.col("lgd"), F.lit(settings.default_lgd)))
     joined = df.join(F.broadcast(lgd), "collateral_type", "left")
-    return joined.select(*df.columns, rate.alias("loss_given_default"))
+    return joined.withColumn("loss_given_default", rate).drop("lgd")
 
 
 def as_of_lookup(
@@ -275,7 +275,7 @@ def as_of_lookup(
         F.col("_to").isNull() | (F.col(date) < F.col("_to")),
     ]
     joined = fact.join(valid, condition, "left")
-    return joined.select(*fact.columns, *[f"effective_{v}" for v in values])
+    return joined.drop(*[f"_k_{k}" for k in keys], "_from", "_to")
 
 
 def with_dims(fact: DataFrame, dim_asset_class: DataFrame, dim_geography: DataFrame) -> DataFrame:

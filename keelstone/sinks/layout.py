@@ -45,11 +45,12 @@ def with_z_value(
         )
     ).scalar()
     # ranks get a projection of their own, so that each is computed once per row
-    ranks = {}
-    for c in columns:
-        value = ordinal(df, c)
-        below = F.size(F.filter(F.col("_bounds").getField(c), lambda b, v=value: b < v))
-        ranks[f"_rank_{c}"] = F.coalesce(below, F.lit(0)).cast("long")
+    def rank(column: str) -> Column:
+        value = ordinal(df, column)
+        below = F.filter(F.col("_bounds").getField(column), lambda bound: bound < value)
+        return F.coalesce(F.size(below), F.lit(0)).cast("long")
+
+    ranks = {f"_rank_{c}": rank(c) for c in columns}
     ranked = df.withColumn("_bounds", quantiles).withColumns(ranks)
     one = F.lit(1).cast("long")
     pieces = [

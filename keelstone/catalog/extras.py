@@ -162,11 +162,11 @@ def portfolio_ratings(spark, d):
     "gen_profile",
     f"""WITH loans AS ({LOANS_SQL}), customers AS ({CUSTOMERS_SQL}),
       per_customer AS (SELECT customer_id, count(*) AS n FROM loans GROUP BY 1)
-    SELECT 'loans' AS attribute, v.value, round(v.number, 2) AS number FROM
+    SELECT 'loans' AS attribute, v.value, round(v.number, 0) AS number FROM
       (SELECT count(*) AS n, sum(outstanding_balance) AS b, count(collateral_id) AS c FROM loans) t,
       LATERAL (VALUES ('loan_count', t.n::DOUBLE), ('total_balance', t.b), ('avg_balance', t.b / t.n),
         ('with_collateral', t.c::DOUBLE), ('with_collateral_pct', t.c * 100e0 / t.n)) v(value, number)
-    UNION ALL SELECT 'skew', v.value, round(v.number, 2) FROM
+    UNION ALL SELECT 'skew', v.value, round(v.number, 0) FROM
       (SELECT max(n) AS m, avg(n) AS a, count(*) FILTER (WHERE n > 100) AS h FROM per_customer) t,
       LATERAL (VALUES ('max_loans', t.m::DOUBLE), ('avg_loans', t.a), ('hot_customers', t.h::DOUBLE))
         v(value, number)
@@ -174,7 +174,7 @@ def portfolio_ratings(spark, d):
     UNION ALL SELECT 'internal_rating', internal_rating, count(*)::DOUBLE FROM customers GROUP BY 2""",
 )
 def profile(spark, d):
-    return rounded(gen.profile(generated_loans(spark, d), generated_customers(spark, d)), {"number": 2})
+    return rounded(gen.profile(generated_loans(spark, d), generated_customers(spark, d)), {"number": 0})
 
 
 # Documented rules ------------------------------------------------------------------
@@ -331,10 +331,11 @@ def eligible_collateral(spark, d):
     ),
 )
 def collateral_allocation(spark, d):
-    loans = exposed(spark, d)
-    out = capital.allocate_collateral(loans).select(
-        "loan_id", "collateral_id", "allocated_collateral_usd"
-    )
+    # exposures do not depend on collateral, so their totals need no join
+    exposures = det.with_exposure(loans_usd(spark, d)).select("collateral_id", "exposure_at_default")
+    out = capital.allocate_collateral(
+        exposed(spark, d), exposures=exposures, profile=tv.loan_keys(spark, d)
+    ).select("loan_id", "collateral_id", "allocated_collateral_usd")
     return rounded(out, {"allocated_collateral_usd": 3})
 
 

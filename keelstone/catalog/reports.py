@@ -146,7 +146,7 @@ def kpi_summary(spark, d):
 
 KPI_DIGITS = {
     "total_exposure": 2, "total_rwa": 2, "total_capital": 2, "avg_risk_weight": 6,
-    "avg_data_quality": 6, "capital_ratio": 6, "rwa_density": 6,
+    "avg_data_quality": 9, "capital_ratio": 6, "rwa_density": 6,
 }
 KPI_SQL = """SELECT calculation_date, count(DISTINCT loan_id) AS total_loans,
     count(DISTINCT customer_id) AS unique_customers,
@@ -155,7 +155,7 @@ KPI_SQL = """SELECT calculation_date, count(DISTINCT loan_id) AS total_loans,
     round(sum(regulatory_capital), 2) AS total_capital,
     round(avg(risk_weight), 6) AS avg_risk_weight,
     sum(CAST(high_risk_flag AS BIGINT))::BIGINT AS high_risk_loans,
-    round(avg(data_quality_score), 6) AS avg_data_quality,
+    round(avg(data_quality_score), 9) AS avg_data_quality,
     round(sum(regulatory_capital) / nullif(sum(outstanding_balance_usd), 0), 6) AS capital_ratio,
     round(sum(risk_weighted_assets) / nullif(sum(outstanding_balance_usd), 0), 6) AS rwa_density
   FROM {fact} GROUP BY 1"""

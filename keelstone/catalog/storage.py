@@ -339,8 +339,7 @@ def table_stats(spark, d):
     sql(
         """SELECT coalesce(a.asset_category, 'none') AS asset_category,
           coalesce(g.region, 'none') AS region, year(f.calculation_date) AS year,
-          count(*) AS loan_count, round(sum(CAST(f.risk_weighted_assets AS DECIMAL(18,2))), 0)::DOUBLE
-            AS total_rwa
+          count(*) AS loan_count, round(sum(f.risk_weighted_assets) / 1e3, 0) AS rwa_thousands
         FROM fact f LEFT JOIN (VALUES ('RETAIL_MORTGAGE','Retail'),('RETAIL_OTHER','Retail'),
           ('CORPORATE_SME','Corporate'),('CORPORATE_LARGE','Corporate'),('SOVEREIGN','Sovereign'))
           a(asset_class, asset_category) ON a.asset_class = f.asset_class
@@ -368,14 +367,14 @@ def star_ddl(spark, d):
     out = spark.sql(
         f"""SELECT coalesce(a.asset_category, 'none') AS asset_category,
           coalesce(g.region, 'none') AS region, t.year, count(*) AS loan_count,
-          CAST(round(sum(f.risk_weighted_assets), 0) AS DOUBLE) AS total_rwa
+          sum(CAST(f.risk_weighted_assets AS DOUBLE)) / 1000D AS rwa_thousands
         FROM {db}.{tables.FACT} f
           JOIN {db}.dim_date t ON t.date_key = f.calculation_date
           LEFT JOIN {db}.dim_asset_class a ON a.asset_class = f.asset_class
           LEFT JOIN {db}.dim_geography g ON g.geography_code = f.geography
         GROUP BY 1, 2, 3"""
     )
-    return out.withColumn("year", F.col("year").cast("long"))
+    return rounded(out.withColumn("year", F.col("year").cast("long")), {"rwa_thousands": 0})
 
 
 @book.query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from keelstone import params
 from keelstone.functions.codes import recode
-from keelstone.operators.joins import skew_join
+from keelstone.operators.joins import hot_keys, skew_join
 
 
 def drawn_undrawn_ead(drawn: Column, limit: Column, commitment: Column) -> Column:
@@ -111,16 +111,24 @@ def allocate_collateral(
     ead: str = "exposure_at_default",
     value: str = "adjusted_collateral_value_usd",
     out: str = "allocated_collateral_usd",
+    exposures: DataFrame | None = None,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Share a collateral between its loans in proportion to their exposure.
 
     The totals per collateral are a combined aggregate joined back, not a window:
     one collateral behind a third of all loans would be one window partition, but
     is a single row here. Loans without collateral keep NULL.
+
+    ``exposures`` (key and exposure of every loan) and ``profile`` (key of every
+    loan, to find hot ones) may be narrower frames than ``loans``, which is their
+    default: give stored or join-free ones where ``loans`` is long to compute.
     """
-    pledged = loans.where(F.col(key).isNotNull()).groupBy(key).agg(
+    exposures = loans if exposures is None else exposures
+    pledged = exposures.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.sum(ead).alias("_pledged_ead")
     )
-    joined = skew_join(loans, pledged, key, "loan_id")
+    hot = hot_keys(loans if profile is None else profile, key)
+    joined = skew_join(loans, pledged, key, "loan_id", hot=hot)
     part = F.try_divide(F.col(ead), F.col("_pledged_ead"))
-    return joined.select(*loans.columns, (F.col(value) * part).alias(out))
+    return joined.withColumn(out, F.col(value) * part).drop("_pledged_ead")

@@ -106,14 +106,13 @@ def compact(
     column: str = "calculation_date",
     by: Sequence[str] = (),
 ) -> None:
-    """Rewrite one slice into fewer, larger files.
+    """Rewrite one slice into fewer, larger files: evenly sized ones, or ``files``.
 
     The new files are staged and swapped in when the job commits, so the slice
     can be read while it is rewritten. Its rows, hence partitions, are the same.
     """
     slice_ = spark.read.parquet(path).where(F.col(column) == F.lit(day))
-    laid_out = slice_.hint("rebalance", *by) if files is None and by else slice_.repartition(files or 1)
-    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    spread(slice_, by if files is None else [], files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         column, *by
     ).parquet(path)
 

@@ -171,12 +171,20 @@ def as_of_for(grain: str):
     }[grain]
 
 
-def fact(
-    spark: SparkSession, sf_dir: str, grain: str = "run", settings: Settings = DEFAULTS, **options
-) -> DataFrame:
-    """The per-loan result. Grains month and day give several calculation dates."""
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def fact(spark: SparkSession, sf_dir: str, grain: str = "run", settings: Settings = DEFAULTS) -> DataFrame:
+    """The per-loan result. Grains month and day give several calculation dates.
+
+    Queries of one session share the (lazy) frame, so its plan is built once; its
+    rows are computed anew by every query.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir, grain)
+    if settings is DEFAULTS and known in _PLANS:
+        return _PLANS[known]
     as_of = as_of_for(grain)
-    return detail_ops.detail(
+    frame = detail_ops.detail(
         clean_loans(spark, sf_dir, as_of),
         clean_ratings(spark, sf_dir),
         clean_collateral(spark, sf_dir),
@@ -185,5 +193,7 @@ def fact(
         settings,
         threshold=HOT_THRESHOLD,
         profile=loan_keys(spark, sf_dir),
-        **options,
     )
+    if settings is DEFAULTS:
+        _PLANS[known] = frame
+    return frame

@@ -174,6 +174,13 @@ def daily_kpis_keyed(spark, d):
     return rounded(agg.daily_kpis(tv.fact(spark, d, "month"), distinct="keyed"), KPI_DIGITS)
 
 
+@book.query("agg_daily_kpis_by_customer", sql(KPI_SQL.format(fact="fact_month"), "fact_month"))
+def daily_kpis_by_customer(spark, d):
+    """Same measures by way of the totals per class and customer."""
+    totals = agg.customer_class_totals(tv.fact(spark, d, "month"))
+    return rounded(agg.daily_kpis_of(totals), KPI_DIGITS)
+
+
 @book.query(
     "agg_recon_totals",
     sql(

@@ -90,30 +90,99 @@ def pillar1(fact: DataFrame) -> DataFrame:
     )
 
 
-def exposure_class(fact: DataFrame) -> DataFrame:
-    """Report by exposure class, with loans and true obligors counted apart.
+CUSTOMER_CLASS = ["calculation_date", "asset_class", "customer_id"]
+
+
+def customer_class_totals(fact: DataFrame) -> DataFrame:
+    """Totals per date, class and customer, from which customer reports are derived.
 
-    Grouping by customer first keeps the distinct count a plain count and lets
-    the map side combine everything else.
+    Means travel as sums beside the number of loans. Distinct customers are plain
+    rows here, so nothing above this level has to expand the fact.
     """
-    keys = ["calculation_date", "asset_class"]
-    per_customer = fact.groupBy(*keys, "customer_id").agg(
+    return fact.groupBy(*CUSTOMER_CLASS).agg(
         _total("outstanding_balance_usd", "exposure"),
         _total("ead_after_crm", "after_crm"),
         _total("risk_weighted_assets", "rwa"),
+        _total("regulatory_capital", "capital"),
         _total("risk_weight", "weights"),
-        F.count(F.lit(1)).alias("loans"),
+        _total("data_quality_score", "scores"),
+        F.count("loan_id").alias("loans"),
+        _high_risk("high_risk"),
     )
-    return per_customer.groupBy(*keys).agg(
+
+
+def _mean_of(total: str, name: str) -> Column:
+    return F.try_divide(F.sum(total).cast("double"), F.sum("loans")).alias(name)
+
+
+def exposure_class(fact: DataFrame) -> DataFrame:
+    """Report by exposure class, with loans and true obligors counted apart."""
+    return exposure_class_of(customer_class_totals(fact))
+
+
+def exposure_class_of(totals: DataFrame) -> DataFrame:
+    """The exposure-class report from customer-class totals."""
+    return totals.groupBy("calculation_date", "asset_class").agg(
         _total("exposure", "original_exposure"),
         _total("after_crm", "exposure_after_crm"),
         F.sum("rwa").alias("rwa"),
-        F.try_divide(F.sum("weights").cast("double"), F.sum("loans")).alias("average_risk_weight"),
+        _mean_of("weights", "average_risk_weight"),
         _total("loans", "loan_count"),
         F.count("customer_id").alias("obligors"),
     )
 
 
+def top_customers_of(totals: DataFrame, k: int = 20) -> DataFrame:
+    """Largest customers of one date from customer-class totals."""
+    per_customer = totals.groupBy("customer_id").agg(
+        _total("rwa", "customer_rwa"),
+        _total("exposure", "customer_exposure"),
+        _total("loans", "loan_count"),
+    )
+    return top_k(per_customer, "customer_rwa", "customer_id", k)
+
+
+def daily_kpis_of(totals: DataFrame) -> DataFrame:
+    """Dashboard measures per date from customer-class totals.
+
+    Trusts (date, loan) to be the key of the fact, like ``daily_kpis`` with "keyed".
+    """
+    measures = totals.groupBy("calculation_date").agg(
+        _total("loans", "total_loans"),
+        F.countDistinct("customer_id").alias("unique_customers"),
+        _total("exposure", "total_exposure"),
+        _total("rwa", "total_rwa"),
+        _total("capital", "total_capital"),
+        _mean_of("weights", "avg_risk_weight"),
+        _total("high_risk", "high_risk_loans"),
+        _mean_of("scores", "avg_data_quality"),
+    )
+    return with_ratios(measures, "total_capital")
+
+
+def statistics_of(summary_rows: DataFrame) -> DataFrame:
+    """The monitoring statistics of one date: columns of its summary."""
+    return summary_rows.select(
+        "asset_class", "geography", "rating_bucket", "loan_count", "total_exposure", "total_rwa",
+        "avg_risk_weight", F.col("total_regulatory_capital").alias("total_capital"), "avg_pd",
+        "high_risk_count",
+    )
+
+
+def geo_concentration_of(summary_rows: DataFrame) -> DataFrame:
+    return summary_rows.groupBy("calculation_date", "geography").agg(
+        _total("total_rwa", "geo_rwa"), _total("total_exposure", "geo_exposure")
+    )
+
+
+def pillar1_of(summary_rows: DataFrame) -> DataFrame:
+    return summary_rows.groupBy("calculation_date").agg(
+        F.sum("total_rwa").alias("total_rwa"),
+        _total("total_regulatory_capital", "total_capital_req"),
+        F.any_value(F.lit(PILLAR1_REPORT)).alias("report_type"),
+    )
+
+
 def geo_concentration(fact: DataFrame) -> DataFrame:
     return fact.groupBy("calculation_date", "geography").agg(
         _total("risk_weighted_assets", "geo_rwa"),

@@ -52,13 +52,12 @@ def validate_sources(tables: dict[str, DataFrame], plan: Plan, as_of: dt.date) -
     )
     results = suites.run_source_suite({**tables, "loans": classified}, **plan.row_ranges)
     path = plan.path("validation", "source")
-    day = as_of.isoformat()
     report = results.withColumns({"date": F.lit(as_of), "detail": F.to_json("detail")})
-    writers.write_report(report, f"{path}/{day}", "json")
+    writers.write_report(report, path, "json")
     stored = spark.read.schema(
         "check_type string, table_name string, item string, is_valid boolean, metric double, "
         "threshold double, detail string, date date"
-    ).json(f"{path}/{day}")
+    ).json(path).where(F.col("date") == F.lit(as_of))
     if plan.strict:
         quality.gate(stored)
     return stored
@@ -119,25 +118,29 @@ def stored_history(spark: SparkSession, path: str, as_of: dt.date, days: int) ->
 
 
 def aggregate(fact: DataFrame, plan: Plan, as_of: dt.date) -> dict[str, DataFrame]:
-    """Store every report of the day and return them as stored."""
+    """Store every report of the day and return them as stored.
+
+    The fact is read twice, for the summary and for the totals by customer; all
+    other reports are made from these two small stored tables.
+    """
     spark = fact.sparkSession
-    summary_path = plan.path("processed", "rwa_summary")
-    history = stored_history(spark, summary_path, as_of, plan.history_days)
-    reports = {
-        "rwa_statistics": aggregates.statistics(fact),
-        "regulatory_exposure_class": aggregates.exposure_class(fact),
-        "pillar1": aggregates.pillar1(fact),
-        "top_customers": aggregates.top_customers(fact),
-        "geographic_concentration": aggregates.geo_concentration(fact),
-        "kpi_dashboard": aggregates.kpi_summary(fact),
-        "daily_kpis": aggregates.daily_kpis(fact, distinct="keyed"),
-        "rwa_summary": trend.daily_trend(aggregates.summary(fact), history, as_of),
-    }
-    out = {}
-    for name, frame in reports.items():
+    out: dict[str, DataFrame] = {}
+
+    def store(name: str, frame: DataFrame, n: int | None = 1) -> DataFrame:
         path = plan.path("processed", name)
-        writers.replace_slice(frame.withColumn(DATE, F.lit(as_of)), path, DATE, as_of, n=1)
+        writers.replace_slice(frame.withColumn(DATE, F.lit(as_of)), path, DATE, as_of, n=n)
         out[name] = readers.read_fact(spark, path, as_of)
+        return out[name]
+
+    history = stored_history(spark, plan.path("processed", "rwa_summary"), as_of, plan.history_days)
+    summary = store("rwa_summary", trend.daily_trend(aggregates.summary(fact), history, as_of))
+    customers = store("customer_class_totals", aggregates.customer_class_totals(fact), n=None)
+    store("rwa_statistics", aggregates.statistics_of(summary))
+    store("geographic_concentration", aggregates.geo_concentration_of(summary))
+    store("pillar1", aggregates.pillar1_of(summary))
+    store("regulatory_exposure_class", aggregates.exposure_class_of(customers))
+    store("top_customers", aggregates.top_customers_of(customers))
+    store("kpi_dashboard", aggregates.daily_kpis_of(customers))
     return out
 
 
@@ -167,11 +170,10 @@ def reconcile_day(
         asset_class=reconcile.reconcile_asset_class(today, by_class),
         day_over_day=reconcile.day_over_day(fact_table, as_of),
     ).withColumnRenamed(DATE, "date")
-    path = f"{plan.path('reconciliation', 'report')}/{as_of.isoformat()}"
+    path = plan.path("reconciliation", "report")
     writers.write_report(outcomes, path, "json")
-    return spark.read.schema(
-        "check_name string, item string, status string, date date"
-    ).json(path).withColumnRenamed("date", DATE)
+    stored = spark.read.schema("check_name string, item string, status string, date date").json(path)
+    return stored.where(F.col("date") == F.lit(as_of)).withColumnRenamed("date", DATE)
 
 
 def run(

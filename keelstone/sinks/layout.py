@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelstone.functions.literals import literal_array
+from keelstone.sinks.writers import row_hash
 
 
 def ordinal(df: DataFrame, column: str) -> Column:
@@ -71,7 +72,7 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int, bits: int = 8) ->
     lets such a group, however large, be cut between files. Spark samples the
     frame to place the ranges, so give it a stored table, not a long computation.
     """
-    tie = F.xxhash64(*df.columns)
+    tie = row_hash(df)
     placed = with_z_value(df, columns, bits).withColumn("_tie", tie)
     return (
         placed.repartitionByRange(files, "_z", "_tie")

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keelstone import schemas
@@ -23,13 +23,18 @@ def optimise_partitions(df: DataFrame, columns: Sequence[str], n: int = 200) ->
     return df.repartition(n, *columns)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a whole row (maps cannot be hashed and are left out)."""
+    return F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind])
+
+
 def spread(df: DataFrame, by: Sequence[str], n: int | None = None, ways: int = 16) -> DataFrame:
     """Rows laid out by ``by`` for writing, with large values cut into several tasks."""
     if n is None:
         return df.hint("rebalance", *by) if by else df.hint("rebalance")
     if not by:
         return df.repartition(n)
-    piece = F.pmod(F.xxhash64(*df.columns), F.lit(ways))
+    piece = F.pmod(row_hash(df), F.lit(ways))
     return df.repartition(n, *[F.col(c) for c in by], piece)
 
 
@@ -124,10 +129,14 @@ def refresh_kpis(fact: DataFrame, path: str, day: dt.date) -> None:
 
 
 def write_report(results: DataFrame, path: str, fmt: str = "json", date: str = "date") -> None:
-    """Store a check or reconciliation report as JSON or CSV under its date."""
+    """Store a check or reconciliation report as JSON or CSV under its date.
+
+    Reports of the same date are replaced, those of other dates stay.
+    """
     if fmt not in ("json", "csv"):
         raise ValueError(f"report format must be json or csv, got {fmt!r}")
     writer = results.write.mode("overwrite").partitionBy(date)
+    writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:

@@ -70,9 +70,28 @@ def test_first_day_has_no_trend_second_has(outcome):
     assert changes.where("rwa_change_pct is not null").count() > 0
 
 
+def test_derived_reports_equal_those_made_from_the_fact(outcome, rows):
+    from keelstone.operators import aggregates as agg
+
+    fact, reports = outcome[1]["fact"], outcome[1]["reports"]
+
+    def close(a, b):
+        columns = sorted(a.columns)
+        for x, y in zip(rows(a.select(*columns)), rows(b.select(*columns)), strict=True):
+            for p, q in zip(x, y, strict=True):
+                assert p == q or p == pytest.approx(q, rel=1e-9)
+
+    close(reports["rwa_statistics"].drop("calculation_date"), agg.statistics(fact))
+    close(reports["geographic_concentration"], agg.geo_concentration(fact))
+    close(reports["pillar1"], agg.pillar1(fact))
+    close(reports["regulatory_exposure_class"], agg.exposure_class(fact))
+    close(reports["top_customers"].drop("calculation_date"), agg.top_customers(fact))
+    close(reports["kpi_dashboard"], agg.daily_kpis(fact))
+
+
 def test_rerun_replaces_and_keeps_other_days(spark, outcome):
     plan, first, second, before = outcome
-    for table in ("rwa_detail", "rwa_summary", "kpi_dashboard", "daily_kpis", "top_customers"):
+    for table in ("rwa_detail", "rwa_summary", "kpi_dashboard", "pillar1", "top_customers"):
         stored = readers.read_fact(spark, plan.path("processed", table))
         per_day = {r[0]: r[1] for r in stored.groupBy("calculation_date").count().collect()}
         assert set(per_day) == {DAY, NEXT}
@@ -96,7 +115,7 @@ def test_report_is_stored_before_the_gate_closes(spark, portfolio, folder):
     plan = daily.Plan(folder, row_ranges={**RANGES, "loan_rows": (1, 10)})
     with pytest.raises(quality.QualityError):
         daily.run(portfolio, DAY, plan)
-    stored = spark.read.json(f"{folder}/validation/source/{DAY}")
+    stored = spark.read.json(f"{folder}/validation/source/date={DAY}")
     assert stored.where("not is_valid").count() >= 1
 
 

@@ -128,11 +128,12 @@ def attach_counterparty(
     return loans.join(side, "customer_id", "left")
 
 
-def collateral_side(collateral: DataFrame) -> DataFrame:
+def collateral_side(collateral: DataFrame, taken: Sequence[str] = ("currency",)) -> DataFrame:
+    """Collateral with one row per id; names the loans already use get a prefix."""
     order = ["valuation_date"] if "valuation_date" in collateral.columns else []
     unique = one_per_key(collateral, "collateral_id", order)
-    clashing = {"currency": "collateral_currency"}
-    return unique.withColumnsRenamed({a: b for a, b in clashing.items() if a in unique.columns})
+    clashing = {c for c in unique.columns if c in taken} - {"collateral_id"}
+    return unique.withColumnsRenamed({c: f"collateral_{c}" for c in clashing})
 
 
 def attach_collateral(
@@ -145,7 +146,7 @@ def attach_collateral(
     loans twice, but shuffles only those that have a key.
     plain: an ordinary left join, leaving skew to adaptive execution.
     """
-    side = collateral_side(collateral)
+    side = collateral_side(collateral, ["currency", *loans.columns])
     if null_keys == "plain":
         return loans.join(side, "collateral_id", "left")
     if null_keys == "spread":
@@ -215,9 +216,8 @@ def enrich(
             "customer_id", "loan_id",
             hot=hot_keys(profile, "customer_id", threshold, salts),
         )
-    return skew_join(
-        known, collateral_side(collateral), "collateral_id", "loan_id",
-        hot=hot_keys(profile, "collateral_id", threshold, salts),
+    return attach_collateral(
+        known, collateral, hot=hot_keys(profile, "collateral_id", threshold, salts)
     )
 
 

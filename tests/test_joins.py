@@ -202,3 +202,20 @@ def test_effective_dates_are_half_open(spark):
     got = joins.as_of_lookup(facts, ref, ["asset_class", "rating_bucket"]).collect()
     weights = {r.id: r.effective_risk_weight and float(r.effective_risk_weight) for r in got}
     assert weights == {"before": None, "first": 0.5, "last": 0.5, "next": 1.0, "open": 1.0}
+
+
+def test_clashing_collateral_columns_are_prefixed(spark, rows):
+    loans = spark.createDataFrame(
+        [("L1", "K1", "USD", 1), ("L2", None, "EUR", 2)],
+        "loan_id string, collateral_id string, currency string, batch int",
+    )
+    side = spark.createDataFrame(
+        [("K1", "GBP", 9, 5.0)], "collateral_id string, currency string, batch int, value double"
+    )
+    for mode in ("spread", "split", "plain"):
+        out = joins.attach_collateral(loans, side, mode)
+        names = ["loan_id", "currency", "batch", "collateral_currency", "collateral_batch", "value"]
+        assert sorted(out.columns) == sorted([*names, "collateral_id"])
+        assert rows(out.select(*names)) == [
+            ("L1", "USD", 1, "GBP", 9, 5.0), ("L2", "EUR", 2, None, None, None),
+        ]

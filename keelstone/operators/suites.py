@@ -10,12 +10,12 @@ from keelstone import params
 from keelstone.operators import quality as q
 
 POSITIVE_BALANCE = q.Rule(
-    "positive_balance", "outstanding_balance > 0", "Outstanding balance must be positive"
+    "positive_balance", "outstanding_balance > 0", "a loan needs a balance above zero"
 )
 VALID_ASSET_CLASS = q.Rule(
     "valid_asset_class",
     "asset_class IN (" + ", ".join(f"'{c}'" for c in params.KNOWN_ASSET_CLASSES) + ")",
-    "Invalid asset class",
+    "the product maps to no known class",
 )
 
 

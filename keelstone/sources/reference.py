@@ -7,7 +7,6 @@ bound that makes ``F.broadcast`` on them safe at any data size.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession

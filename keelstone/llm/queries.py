@@ -2,21 +2,50 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keelstone.llm import pii, simhash
+from keelstone.llm import fingerprints, html_text, licenses, packing, pii, simhash
 from keelstone.llm.common import read
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprint(read(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.find(read(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels of every document."""
+    return licenses.label(read(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near-duplicates of every document."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_pii, op8_simhash)}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into windows of 1024 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), *vocabulary())
+
+
+def vocabulary() -> tuple[str, str]:
+    """The tokenizer's file and the same vocabulary as ranks."""
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op2_fingerprints, op5_pii, op6_html_text, op7_licenses, op8_simhash, op9_packing)
+}
 SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keelstone.llm import fingerprints, html_text, licenses, packing, pii, simhash
+from keelstone.llm import embeddings, fingerprints, html_text, licenses, mixing, packing, pii, quality, simhash
 from keelstone.llm.common import read
 
 
@@ -14,6 +14,17 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and decision for every document, trained on those labelled as good."""
+    documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality.classify(documents, labels).drop("key")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the weighted mix of all sources takes."""
+    return mixing.mix(read(spark, sf_dir, "documents")).drop("key")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.find(read(spark, sf_dir, "documents"))
@@ -44,8 +55,23 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and group of near-duplicates of every embedding."""
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_fingerprints, op5_pii, op6_html_text, op7_licenses, op8_simhash, op9_packing)
+    for f in (
+        op2_fingerprints,
+        op3_quality,
+        op4_mixing,
+        op5_pii,
+        op6_html_text,
+        op7_licenses,
+        op8_simhash,
+        op9_packing,
+        op10_embeddings,
+    )
 }
 SQL: dict[str, str] = {}

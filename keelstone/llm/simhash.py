@@ -239,11 +239,11 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     rows = stored(fingerprints(docs, id_column, text_column), "fingerprints")
     groups = rows.join(linked(rows), "fp", "left")
     kept = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))).agg(
-        F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("kept_key")
+        F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("__kept")
     )
-    keyed = docs.withColumn("_row_key", row_key(id_column, text_column))
     return (
-        keyed.join(kept.select("kept_key"), F.col("_row_key") == F.col("kept_key"))
-        .dropDuplicates(["_row_key"])
-        .drop("_row_key", "kept_key")
+        docs.withColumn("__row", row_key(id_column, text_column))
+        .join(kept.select("__kept"), F.col("__row") == F.col("__kept"))
+        .dropDuplicates(["__row"])
+        .drop("__row", "__kept")
     )

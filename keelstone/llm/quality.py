@@ -35,7 +35,7 @@ HELD_OUT = 5
 #: A document is rejected above median + SPREAD * (QUANTILE - median) of its language's
 #: held-out trusted documents, all in nats a character.
 QUANTILE = 0.99
-SPREAD = 3.0
+SPREAD = 4.0
 
 PAD = 0xFFFF  # before the first character; a noncharacter, read as U+FFFD within texts
 N_BITS = 40  # of a trusted count beside the group's number

@@ -5,10 +5,26 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keelstone.llm import embeddings, fingerprints, html_text, licenses, mixing, packing, pii, quality, simhash
+from keelstone.llm import (
+    embeddings,
+    fingerprints,
+    html_text,
+    licenses,
+    mixing,
+    packing,
+    pii,
+    quality,
+    secrets,
+    simhash,
+)
 from keelstone.llm.common import read
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates for secrets in every document, and which of them are."""
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.fingerprint(read(spark, sf_dir, "documents"))
@@ -63,6 +79,7 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_secrets,
         op2_fingerprints,
         op3_quality,
         op4_mixing,

@@ -220,7 +220,8 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
             for k in (1, 2, 3)
         ),
     )
-    asked = counts.select("ngram", F.explode(F.sequence(F.lit(1), F.lit(ORDER))).alias("m")).select(
+    # every use of the counts needs both columns, so that all share one exchange
+    asked = counts.where("c >= 0").select("ngram", F.explode(F.sequence(F.lit(1), F.lit(ORDER))).alias("m")).select(
         "ngram", "m", F.expr("right(ngram, m)").alias("y"), F.expr("left(right(ngram, m), m - 1)").alias("g")
     )
     discount = F.when(F.col("a") == 1, F.col("d1")).when(F.col("a") == 2, F.col("d2")).otherwise(F.col("d3"))
@@ -289,7 +290,7 @@ def score(
     counted = (
         blocks.groupBy("g")
         .cogroup(known.groupBy("g"))
-        .applyInPandas(_counted, "ngram string, payload long")
+        .applyInPandas(_counted, "ngram string NOT NULL, payload long NOT NULL")
         .repartition("ngram")
     )
     counts = counted.groupBy("ngram").agg(

@@ -85,13 +85,35 @@ LABELLED = [
     (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 1, 0), (4, 0.0, 30, 0.0, 2, 1.0, 0, 0, 1, 0),
 ]
 # Plain text of any length, beside blocks of any length, is the article's where the page
-# says so and is not where it stands in page furniture.
+# says so and is not where it stands in page furniture, inside an article or not.
 LABELLED += [
-    (words, 0.0, before, float(before == 2), after, float(after == 2), chrome, 1 - chrome, 0, 1 - chrome)
+    (words, 0.0, before, float(before == 2), after, float(after == 2), chrome, article, 0, 1 - chrome)
     for words in (1, 6, 40, 150)
-    for before in (0, 2, 7, 50)
+    for before in (0, 2, 7, 80)
     for after in (0, 2, 9, 70)
-    for chrome in (0, 1)
+    for chrome, article in ((0, 1), (1, 0), (1, 1))
+]
+# Links alone are lists of links.
+LABELLED += [
+    (words, 1.0, before, density, after, 0.0, 0, 0, 0, 0)
+    for words in (1, 2, 5)
+    for before, density in ((0, 0.0), (2, 1.0), (40, 0.0), (120, 0.0))
+    for after in (0, 2, 25, 60)
+]
+# Where the page says nothing, long blocks are text, and short ones between long ones.
+LABELLED += [
+    (words, 0.0, before, 0.0, after, 0.0, 0, 0, 0, int(words > 10 or min(before, after) > 30))
+    for words in (2, 6, 20, 60, 200)
+    for before in (0, 3, 40)
+    for after in (0, 3, 40)
+]
+# Sentences of an article may be half links.
+LABELLED += [
+    (words, density, before, 0.0, after, 0.0, 0, 1, 0, 1)
+    for words in (6, 12, 40)
+    for density in (0.2, 0.5)
+    for before in (1, 30)
+    for after in (0, 30)
 ]
 
 

@@ -220,23 +220,35 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
             for k in (1, 2, 3)
         ),
     )
-    # every use of the counts needs both columns, so that all share one exchange
+    # no context is one key for a quarter of all rows: it comes with the discounts instead,
+    # and those rows get a key of their own, longer than any context
+    nothing = [F.col(c).alias(f"all_{c}") for c in ("total", "ones", "twos", "more")]
+    root = contexts.where("n = 1").select(F.lit(1).alias("first"), *nothing)
+    context = F.expr("left(right(ngram, m), m - 1)")
+    # like every other use of the counts this needs both columns, so all share one exchange
     asked = counts.where("c >= 0").select("ngram", F.explode(F.sequence(F.lit(1), F.lit(ORDER))).alias("m")).select(
-        "ngram", "m", F.expr("right(ngram, m)").alias("y"), F.expr("left(right(ngram, m), m - 1)").alias("g")
+        "ngram",
+        "m",
+        F.expr("right(ngram, m)").alias("y"),
+        F.when(F.col("m") > 1, context).otherwise(F.repeat("ngram", 2)).alias("g"),
     )
     discount = F.when(F.col("a") == 1, F.col("d1")).when(F.col("a") == 2, F.col("d2")).otherwise(F.col("d3"))
-    passed = F.col("d1") * F.col("ones") + F.col("d2") * F.col("twos") + F.col("d3") * F.col("more")
+    total, ones, twos, more = (
+        F.coalesce(F.col(c), F.col(f"all_{c}")) for c in ("total", "ones", "twos", "more")
+    )
+    passed = F.col("d1") * ones + F.col("d2") * twos + F.col("d3") * more
     terms = (
         asked.join(adjusted, (F.col("m") == F.col("n")) & (F.col("y") == F.col("x")), "left")
         .select("ngram", "m", "g", "a")
         .join(contexts, (F.col("m") == F.col("n")) & (F.col("g") == F.col("h")), "left")
+        .join(F.broadcast(root), F.col("m") == F.col("first"), "left")
         .join(F.broadcast(discounts), F.col("m") == F.col("level"), "left")
         .select(
             "ngram",
             F.struct(
                 "m",
-                F.coalesce(F.greatest(F.col("a") - discount, F.lit(0.0)) / F.col("total"), F.lit(0.0)).alias("own"),
-                F.coalesce(passed / F.col("total"), F.lit(1.0)).alias("passed"),
+                F.coalesce(F.greatest(F.col("a") - discount, F.lit(0.0)) / total, F.lit(0.0)).alias("own"),
+                F.coalesce(passed / total, F.lit(1.0)).alias("passed"),
                 F.coalesce(F.when(F.col("m") == 1, F.col("types")), F.lit(0)).alias("types"),
             ).alias("term"),
         )

@@ -8,7 +8,10 @@ from keelstone import schemas
 from keelstone.catalog.book import Book, rounded
 from keelstone.catalog.joins import MOVES_SQL, scaled_source
 from keelstone.catalog.sqlparts import sql
-from keelstone.operators import quality as q, reconcile as rc, standardise as std, suites, trend
+from keelstone.operators import aggregates as agg, quality as q, reconcile as rc
+from keelstone.operators import standardise as std, suites, trend
+from keelstone.sinks import writers
+from keelstone.sinks.scratch import new_path
 from keelstone.sources import testviews as tv
 
 book = Book()
@@ -52,20 +55,27 @@ def rule_sql(table: str, source: str, name: str, condition: str) -> str:
 
 @book.query(
     "dq_schema",
-    """SELECT 'schema_validation' AS check_type, 'loans' AS table_name, * FROM (VALUES
-        ('loan_id', TRUE, 0e0), ('customer_id', FALSE, 1e0), ('product_type', TRUE, 0e0),
-        ('origination_date', TRUE, 0e0), ('maturity_date', TRUE, 0e0),
-        ('outstanding_balance', FALSE, 1e0), ('currency', TRUE, 0e0),
-        ('internal_rating', TRUE, 0e0), ('country_code', TRUE, 0e0),
-        ('collateral_id', FALSE, 1e0), ('exposure_at_default', FALSE, 1e0))
-        v(item, is_valid, metric)
-    UNION ALL SELECT 'row_count_check', 'loans', 'rows', TRUE, CAST(count(*) AS DOUBLE) FROM orders""",
+    """WITH given AS (
+        SELECT typeof(o_orderkey) AS k, typeof(o_custkey) AS c, typeof(o_orderdate) AS t,
+          typeof(o_orderpriority) AS s FROM orders LIMIT 1),
+      loans(item, kind, wanted) AS (
+        SELECT unnest(['loan_id', 'customer_id', 'product_type', 'origination_date', 'maturity_date',
+            'outstanding_balance', 'currency', 'internal_rating', 'country_code', 'collateral_id',
+            'exposure_at_default']),
+          unnest([s, c, s, CASE WHEN t LIKE 'TIMESTAMP%' THEN 'DATE' END, 'DATE', 'DECIMAL', s, s, s, k, NULL]),
+          unnest(['VARCHAR', 'VARCHAR', 'VARCHAR', 'DATE', 'DATE', 'DOUBLE', 'VARCHAR', 'VARCHAR',
+            'VARCHAR', 'VARCHAR', 'DOUBLE']) FROM given)
+    SELECT 'schema_validation' AS check_type, 'loans' AS table_name, item,
+      coalesce(kind = wanted, FALSE) AS is_valid,
+      CASE WHEN kind = wanted THEN 0e0 ELSE 1e0 END AS metric FROM loans
+    UNION ALL SELECT 'row_count_check', 'loans', 'rows', count(*) >= 1, CAST(count(*) AS DOUBLE)
+      FROM orders""",
 )
 def schema(spark, d):
-    """The loan view against the bronze schema, beside its row count."""
+    """The loan view, with the types of the given orders, against the bronze schema, and its rows."""
     loans = tv.loans(spark, d)
     found = q.validate_schema(loans, schemas.LOANS, "loans")
-    return shown(q.log_results(found, q.run_checks(raw_loans(spark, d), "loans", [q.RowCount(0, 2**62)])))
+    return shown(q.log_results(found, q.run_checks(raw_loans(spark, d), "loans", [q.RowCount(1, 2**62)])))
 
 
 NULL_COLUMNS = ["loan_id", "internal_rating", "collateral_id"]
@@ -429,14 +439,33 @@ def top_movers(spark, d):
 
 
 def outcomes(spark, d):
-    fact = tv.fact(spark, d, "month")
+    """All checks of a month and of its days, each grain's totals computed once and stored."""
+    month, day = (stored_totals(spark, d, grain) for grain in ("month", "day"))
+    source = stored_source(spark, d)
+    total = source.groupBy("calculation_date").agg(
+        (F.sum("source_exposure") * 1.00005).alias("source_exposure"),
+        F.sum("source_loan_count").alias("source_loan_count"),
+    )
+    by_class = source.withColumn("source_exposure", F.col("source_exposure") * 1.0005)
     return rc.report(
-        totals=rc.reconcile_totals(fact, scaled_source(spark, d, 1.00005)),
-        asset_class=rc.reconcile_asset_class(fact, scaled_source(spark, d, 1.0005, by_class=True)),
-        day_over_day=rc.day_over_day(tv.fact(spark, d, "day")),
+        totals=rc.reconcile_totals_of(month, total),
+        asset_class=rc.reconcile_asset_class_of(month, by_class),
+        day_over_day=rc.day_over_day_of(day),
     )
 
 
+def stored_totals(spark, d, grain):
+    path = new_path(spark, f"totals_{grain}")
+    writers.write_table(agg.customer_class_totals(tv.fact(spark, d, grain)), path)
+    return spark.read.parquet(path)
+
+
+def stored_source(spark, d):
+    path = new_path(spark, "source_totals")
+    writers.write_table(scaled_source(spark, d, by_class=True), path)
+    return spark.read.parquet(path)
+
+
 OUTCOMES_SQL = f"""
   SELECT 'totals' AS check_name, calculation_date, 'total' AS item, status
     FROM ({TOTALS_SQL.format(factor='1.00005e0')})

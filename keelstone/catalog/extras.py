@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from keelstone import params
 from keelstone.catalog.book import Book, plain, rounded
-from keelstone.catalog.joins import collateral_usd, exposed, loans_usd
+from keelstone.catalog.joins import collateral_usd, exposed, loans_usd, mitigated
 from keelstone.catalog.sqlparts import sql
 from keelstone.operators import aggregates as agg, capital, detail as det
 from keelstone.sources import generator as gen, reference, testviews as tv
@@ -334,7 +334,7 @@ def collateral_allocation(spark, d):
     # exposures do not depend on collateral, so their totals need no join
     exposures = det.with_exposure(loans_usd(spark, d)).select("collateral_id", "exposure_at_default")
     out = capital.allocate_collateral(
-        exposed(spark, d), exposures=exposures, profile=tv.loan_keys(spark, d)
+        mitigated(spark, d), exposures=exposures, profile=tv.loan_keys(spark, d)
     ).select("loan_id", "collateral_id", "allocated_collateral_usd")
     return rounded(out, {"allocated_collateral_usd": 3})
 

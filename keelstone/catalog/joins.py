@@ -17,9 +17,6 @@ from keelstone.sources import reference, testviews as tv
 
 book = Book()
 
-HOT = {"threshold": tv.HOT_THRESHOLD}
-
-
 def loans_usd(spark, d):
     return fx_ops.to_reporting_ccy(
         tv.clean_loans(spark, d), tv.clean_fx(spark), "outstanding_balance", "outstanding_balance_usd"
@@ -32,18 +29,40 @@ def collateral_usd(spark, d):
 
 def hot(spark, d, key="customer_id"):
     """Hot keys of the raw loans, counted on the one column they need."""
-    return joins.hot_keys(tv.loan_keys(spark, d), key, tv.HOT_THRESHOLD)
+    return joins.keys_above(tv.loan_keys(spark, d), key, tv.HOT_THRESHOLD)
+
+
+def spread(spark, d, key="customer_id"):
+    """How the joins spread the keys of the raw loans."""
+    return joins.spread_keys(tv.loan_keys(spark, d), key, least=tv.HOT_THRESHOLD)
+
+
+def rated(spark, d):
+    """Loans with their ratings and bucket: no collateral, no rates."""
+    loans = joins.attach_rating(
+        tv.clean_loans(spark, d), tv.clean_ratings(spark, d), hot=spread(spark, d)
+    )
+    return det.with_rating(loans)
 
 
 def exposed(spark, d):
     """Loans through rating, exposure and mitigation."""
     enriched = joins.enrich(
         loans_usd(spark, d), tv.clean_ratings(spark, d), collateral_usd(spark, d),
-        threshold=tv.HOT_THRESHOLD, profile=tv.loan_keys(spark, d),
+        profile=tv.loan_keys(spark, d),
     )
     return det.with_mitigation(det.with_exposure(det.with_rating(enriched)))
 
 
+def mitigated(spark, d):
+    """Loans through exposure and mitigation."""
+    pledged = joins.attach_collateral(
+        loans_usd(spark, d), collateral_usd(spark, d), "spread",
+        hot=spread(spark, d, "collateral_id"),
+    )
+    return det.with_mitigation(det.with_exposure(pledged))
+
+
 @book.query(
     "jn_fx_loans",
     sql("SELECT loan_id, currency, outstanding_balance_usd FROM loans_usd", "loans_usd"),
@@ -76,7 +95,7 @@ CPTY_SQL = """SELECT l.loan_id, l.customer_id, c.customer_type AS cpty_customer_
 def salted_counterparty(spark, d):
     loans = tv.loans(spark, d, with_customer=False)
     side = std.standardise_counterparty(tv.counterparty(spark, d))
-    joined = joins.attach_counterparty(loans, side, hot=hot(spark, d))
+    joined = joins.attach_counterparty(loans, side, hot=spread(spark, d))
     return plain(
         joined.select(
             "loan_id", "customer_id", "cpty_customer_type", "cpty_total_assets", "cpty_country_code"
@@ -93,7 +112,7 @@ def salted_counterparty(spark, d):
 )
 def skew_keys(spark, d):
     loans = tv.loans(spark, d, with_customer=False).select("loan_id", "customer_id")
-    marked = loans.join(F.broadcast(hot(spark, d)), "customer_id", "left")
+    marked = loans.join(hot(spark, d), "customer_id", "left")
     return marked.select(
         "loan_id",
         "customer_id",
@@ -139,7 +158,9 @@ def anti_hot(spark, d):
 )
 def collateral(spark, d):
     loans = tv.loans(spark, d, with_customer=False).select("loan_id", "collateral_id")
-    joined = joins.attach_collateral(loans, tv.clean_collateral(spark, d), **HOT)
+    joined = joins.attach_collateral(
+        loans, tv.clean_collateral(spark, d), hot=spread(spark, d, "collateral_id")
+    )
     return plain(
         joined.select(
             "loan_id", "collateral_id", "collateral_type", "adjusted_collateral_value",
@@ -158,7 +179,7 @@ def collateral(spark, d):
 )
 def attach_ratings(spark, d):
     loans = tv.loans(spark, d, with_customer=False).select("loan_id", "customer_id")
-    return joins.attach_rating(loans, tv.clean_ratings(spark, d)).select(
+    return joins.attach_rating(loans, tv.clean_ratings(spark, d), hot=spread(spark, d)).select(
         "loan_id", "customer_id", "rating", "rating_numeric"
     )
 
@@ -266,8 +287,7 @@ def lgd(spark, d):
 def enrich(spark, d):
     out = joins.enrich(
         loans_usd(spark, d), tv.clean_ratings(spark, d), collateral_usd(spark, d),
-        counterparty=tv.counterparty(spark, d), threshold=tv.HOT_THRESHOLD,
-        profile=tv.loan_keys(spark, d),
+        counterparty=tv.counterparty(spark, d), profile=tv.loan_keys(spark, d),
     )
     return out.select(
         "loan_id", "customer_id", "collateral_id", "country_code", "currency",
@@ -434,41 +454,89 @@ def _register(name, columns, sql_columns, part, build):
     book.query(name, text)(lambda spark, d: build(spark, d).select(*columns))
 
 
-def _rated(spark, d):
-    return exposed(spark, d)
+def _exposed(spark, d):
+    return det.with_exposure(loans_usd(spark, d))
+
+
+def _typed(spark, d):
+    return tv.clean_loans(spark, d).withColumn(
+        "exposure_type", codes.exposure_type(F.col("product_type"))
+    )
+
+
+def _weighted(spark, d):
+    return joins.attach_risk_weight(rated(spark, d), reference.risk_weights(spark))
+
+
+def _defaulting(spark, d):
+    chance = risk.probability_of_default(F.col("rating_bucket"))
+    return rated(spark, d).withColumn("probability_of_default", chance)
 
 
-for _name, _columns, _part in [
-    ("rk_final_rating", ["loan_id", "rating", "internal_rating", "final_rating"], "rated"),
-    ("rk_rating_bucket", ["loan_id", "final_rating", "rating_bucket"], "rated"),
-    ("rk_exposure_type", ["loan_id", "product_type", "exposure_type"], "rated"),
-    ("rk_ead", ["loan_id", "credit_conversion_factor", "exposure_at_default"], "exposed"),
+def _scored(spark, d):
+    score = risk.quality_score(F.col("rating"), F.col("internal_rating"))
+    return rated(spark, d).withColumn("data_quality_score", score)
+
+
+def _located(spark, d):
+    return tv.clean_loans(spark, d).withColumn("geography", codes.geography(F.col("country_code")))
+
+
+def _dated(spark, d):
+    return det.with_metadata(tv.clean_loans(spark, d), tv.AS_OF)
+
+
+# each query is built from the step that makes its columns
+for _name, _columns, _part, _build in [
+    ("rk_final_rating", ["loan_id", "rating", "internal_rating", "final_rating"], "rated", rated),
+    ("rk_rating_bucket", ["loan_id", "final_rating", "rating_bucket"], "rated", rated),
+    ("rk_exposure_type", ["loan_id", "product_type", "exposure_type"], "rated", _typed),
+    ("rk_ead", ["loan_id", "credit_conversion_factor", "exposure_at_default"], "exposed", _exposed),
     (
         "rk_collateral_coverage",
         ["loan_id", "exposure_at_default", "adjusted_collateral_value_usd", "collateral_coverage_ratio"],
         "mitigated",
+        mitigated,
+    ),
+    (
+        "rk_ead_after_crm",
+        ["loan_id", "collateral_coverage_ratio", "ead_after_crm"],
+        "mitigated",
+        mitigated,
     ),
-    ("rk_ead_after_crm", ["loan_id", "collateral_coverage_ratio", "ead_after_crm"], "mitigated"),
-]:
-    _register(_name, _columns, _columns, _part, _rated)
-
-for _name, _columns in [
-    ("rk_risk_weight", ["loan_id", "asset_class", "rating_bucket", "risk_weight"]),
-    ("rk_weight_floor", ["loan_id", "asset_class", "risk_weight", "risk_weight_floored"]),
-    ("rk_rwa", ["loan_id", "ead_after_crm", "risk_weight_floored", "risk_weighted_assets"]),
-    ("rk_regulatory_capital", ["loan_id", "risk_weighted_assets", "regulatory_capital"]),
-    ("rk_pd", ["loan_id", "rating_bucket", "probability_of_default"]),
+    (
+        "rk_risk_weight",
+        ["loan_id", "asset_class", "rating_bucket", "risk_weight"],
+        "fact",
+        _weighted,
+    ),
+    ("rk_weight_floor", ["loan_id", "asset_class", "risk_weight", "risk_weight_floored"], "fact", tv.fact),
+    ("rk_rwa", ["loan_id", "ead_after_crm", "risk_weight_floored", "risk_weighted_assets"], "fact", tv.fact),
+    ("rk_regulatory_capital", ["loan_id", "risk_weighted_assets", "regulatory_capital"], "fact", tv.fact),
+    ("rk_pd", ["loan_id", "rating_bucket", "probability_of_default"], "fact", _defaulting),
     (
         "rk_expected_loss",
         ["loan_id", "ead_after_crm", "probability_of_default", "loss_given_default", "expected_loss"],
+        "fact",
+        tv.fact,
+    ),
+    (
+        "rk_high_risk_flag",
+        ["loan_id", "risk_weight", "probability_of_default", "high_risk_flag"],
+        "fact",
+        tv.fact,
+    ),
+    ("rk_quality_score", ["loan_id", "data_quality_score"], "fact", _scored),
+    ("rk_geography", ["loan_id", "country_code", "geography"], "fact", _located),
+    (
+        "rk_metadata",
+        ["loan_id", "calculation_date", "calculation_method", "created_timestamp"],
+        "fact",
+        _dated,
     ),
-    ("rk_high_risk_flag", ["loan_id", "risk_weight", "probability_of_default", "high_risk_flag"]),
-    ("rk_quality_score", ["loan_id", "data_quality_score"]),
-    ("rk_geography", ["loan_id", "country_code", "geography"]),
-    ("rk_metadata", ["loan_id", "calculation_date", "calculation_method", "created_timestamp"]),
-    ("rk_detail", schemas.DETAIL_COLUMNS),
+    ("rk_detail", schemas.DETAIL_COLUMNS, "fact", tv.fact),
 ]:
-    _register(_name, _columns, _columns, "fact", lambda spark, d: tv.fact(spark, d))
+    _register(_name, _columns, _columns, _part, _build)
 
 
 @book.query(

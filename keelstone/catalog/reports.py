@@ -11,6 +11,7 @@ from keelstone.catalog.joins import MOVES_SQL, exposed, hot
 from keelstone.catalog.sqlparts import sql
 from keelstone.operators import aggregates as agg, joins, ratings, trend
 from keelstone.sinks import writers
+from keelstone.sinks.scratch import new_path
 from keelstone.sources import reference, testviews as tv
 
 book = Book()
@@ -222,7 +223,7 @@ def duplicates(spark, d):
 
 @book.query(
     "agg_hot_keys",
-    """SELECT o_custkey AS customer_id, count(*) AS key_rows, 10 AS n_salts FROM orders
+    """SELECT o_custkey AS customer_id, count(*) AS key_rows FROM orders
     GROUP BY 1 HAVING count(*) > 15""",
 )
 def hot_keys(spark, d):
@@ -297,6 +298,13 @@ def lag_change(spark, d):
     return rounded(changed, {"total_rwa": 2, "prev_total_rwa": 2, "rwa_change_pct": 3})
 
 
+def stored_month(spark, frame):
+    """A small result that is used twice, written once."""
+    path = new_path(spark, "month")
+    writers.write_table(frame, path)
+    return spark.read.parquet(path)
+
+
 @book.query(
     "win_daily_trend",
     sql(
@@ -307,7 +315,7 @@ def lag_change(spark, d):
 )
 def daily_trend(spark, d):
     day = dt.date(2001, 7, 1)
-    every = agg.summary(tv.fact(spark, d, "month"))
+    every = stored_month(spark, agg.summary(tv.fact(spark, d, "month")))
     today = every.where(F.col("calculation_date") == F.lit(day))
     history = every.where(F.col("calculation_date") < F.lit(day))
     out = trend.daily_trend(today, history, day).select(*SUMMARY_KEYS, "total_rwa", "rwa_change_pct")
@@ -355,6 +363,7 @@ def union_missing(spark, d):
     totals = tv.fact(spark, d, "month").groupBy("calculation_date", "asset_class").agg(
         F.sum("risk_weighted_assets").alias("total_rwa"), F.count(F.lit(1)).alias("loan_count")
     )
+    totals = stored_month(spark, totals)
     today = totals.where(F.col("calculation_date") == day)
     history = totals.where(F.col("calculation_date") != day).drop("loan_count")
     return rounded(trend.with_history(today, history), {"total_rwa": 2})
@@ -389,7 +398,8 @@ def union_by_name(spark, d):
 )
 def explode_salts(spark, d):
     side = tv.counterparty(spark, d).select("customer_id")
-    return joins.replicate_rows(side, hot(spark, d), "customer_id", "salt")
+    parts = hot(spark, d).withColumn("n_salts", F.lit(10))
+    return joins.replicate_rows(side, parts, "customer_id", "salt", bounded=False).drop("key_rows")
 
 
 # Dimensions ------------------------------------------------------------------------

@@ -286,9 +286,9 @@ def unmatured(spark, d):
 )
 def date_slice(spark, d):
     day = tv.AS_OF.replace(month=7)
-    return filters.date_slice(tv.fact(spark, d, "month"), day).select(
-        "loan_id", "customer_id", "calculation_date"
-    )
+    month = tv.as_of_for("month")
+    dated = tv.clean_loans(spark, d, month).withColumn("calculation_date", month)
+    return filters.date_slice(dated, day).select("loan_id", "customer_id", "calculation_date")
 
 
 @book.query(

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -221,10 +222,11 @@ def replace_date(spark, d):
 def append(spark, d):
     """Adding a date's row again leaves one row per date."""
     path = new_path(spark, "kpi_dashboard")
-    kpis = agg.daily_kpis(tv.fact(spark, d, "month"))
+    kpis = agg.daily_kpis_of(agg.customer_class_totals(tv.fact(spark, d, "month")))
     writers.write_partitioned(kpis, path, ["calculation_date"])
-    last = kpis.where(F.col("calculation_date") == F.lit(LAST))
-    writers.replace_slice(last, path, "calculation_date", LAST, n=1)
+    again = new_path(spark, "kpis_of_a_day")
+    writers.write_table(readers.read_fact(spark, path, LAST), again, n=1)
+    writers.replace_slice(spark.read.parquet(again), path, "calculation_date", LAST, n=1)
     return rounded(readers.read_fact(spark, path), KPI_DIGITS)
 
 
@@ -297,9 +299,11 @@ def compact(spark, d):
 @book.query("snk_materialized_kpis", sql(KPI_SQL.format(fact="fact_month"), "fact_month"))
 def materialized_kpis(spark, d):
     """The stored aggregate of all dates, then one date refreshed from the fact."""
-    path = new_path(spark, "daily_kpis")
-    fact = tv.fact(spark, d, "month")
-    writers.write_partitioned(agg.daily_kpis(fact), path, ["calculation_date"])
+    path, detail = new_path(spark, "daily_kpis"), new_path(spark, "rwa_detail")
+    writers.write_partitioned(tv.fact(spark, d, "month"), detail, ["calculation_date"])
+    fact = readers.read_fact(spark, detail)
+    kpis = agg.daily_kpis_of(agg.customer_class_totals(fact))
+    writers.write_partitioned(kpis, path, ["calculation_date"])
     writers.refresh_kpis(fact, path, LAST)
     return rounded(readers.read_fact(spark, path), KPI_DIGITS)
 
@@ -320,10 +324,14 @@ def materialized_kpis(spark, d):
     ),
 )
 def table_stats(spark, d):
-    name = f"loans_{uuid.uuid4().hex}"
+    name, path = f"loans_{uuid.uuid4().hex}", new_path(spark, "stats")
     loans = tv.loans(spark, d, with_customer=False).select(*LOANS, "collateral_id")
-    loans.write.option("path", new_path(spark, "stats")).saveAsTable(name)
+    loans.write.option("path", path).saveAsTable(name)
     found = tables.analyze(spark, name, ["customer_id", "origination_date", "collateral_id"])
+    measures = new_path(spark, "measures")
+    writers.write_table(found, measures, n=1)
+    spark.sql(f"DROP TABLE {name}")
+    found = spark.read.parquet(measures)
 
     def value(info: str):
         return F.max(F.when(F.col("info_name") == info, F.col("info_value")))
@@ -339,7 +347,7 @@ def table_stats(spark, d):
     sql(
         """SELECT coalesce(a.asset_category, 'none') AS asset_category,
           coalesce(g.region, 'none') AS region, year(f.calculation_date) AS year,
-          count(*) AS loan_count, round(sum(f.risk_weighted_assets) / 1e3, 0) AS rwa_thousands
+          count(*) AS loan_count, CAST(sum(CAST(CAST(f.risk_weighted_assets AS VARCHAR) AS DECIMAL(18,2))) AS DOUBLE) AS total_rwa
         FROM fact f LEFT JOIN (VALUES ('RETAIL_MORTGAGE','Retail'),('RETAIL_OTHER','Retail'),
           ('CORPORATE_SME','Corporate'),('CORPORATE_LARGE','Corporate'),('SOVEREIGN','Sovereign'))
           a(asset_class, asset_category) ON a.asset_class = f.asset_class
@@ -367,14 +375,17 @@ def star_ddl(spark, d):
     out = spark.sql(
         f"""SELECT coalesce(a.asset_category, 'none') AS asset_category,
           coalesce(g.region, 'none') AS region, t.year, count(*) AS loan_count,
-          sum(CAST(f.risk_weighted_assets AS DOUBLE)) / 1000D AS rwa_thousands
+          CAST(sum(f.risk_weighted_assets) AS DOUBLE) AS total_rwa
         FROM {db}.{tables.FACT} f
           JOIN {db}.dim_date t ON t.date_key = f.calculation_date
           LEFT JOIN {db}.dim_asset_class a ON a.asset_class = f.asset_class
           LEFT JOIN {db}.dim_geography g ON g.geography_code = f.geography
         GROUP BY 1, 2, 3"""
     )
-    return rounded(out.withColumn("year", F.col("year").cast("long")), {"rwa_thousands": 0})
+    path = new_path(spark, "star_report")
+    writers.write_table(rounded(out.withColumn("year", F.col("year").cast("long")), {"total_rwa": 2}), path)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return spark.read.parquet(path)
 
 
 @book.query(
@@ -414,8 +425,9 @@ def report(spark, d):
     ),
 )
 def run_metrics(spark, d):
-    watched, seen = writers.with_metrics(tv.fact(spark, d), f"run-{uuid.uuid4().hex}")
-    writers.write_partitioned(watched, new_path(spark, "rwa_detail"), ["asset_class"])
+    seen = Observation(f"run-{uuid.uuid4().hex}")
+    path = new_path(spark, "rwa_detail")
+    writers.replace_slice(tv.fact(spark, d), path, "calculation_date", tv.AS_OF, ["asset_class"], seen=seen)
     got = seen.get
     names = ["TotalRWA", "ProcessedLoans", "HighRiskLoans"]
     row = literal_table(

@@ -79,7 +79,4 @@ def high_risk(
 
 def quality_score(external: Column, internal: Column) -> Column:
     """1.0 with an external rating, 0.8 with only an internal one, else 0.5."""
-    return F.coalesce(
-        F.nvl2(external, F.lit(1.0), F.lit(None).cast("double")),
-        F.nvl2(internal, F.lit(0.8), F.lit(0.5)),
-    )
+    return F.when(external.isNotNull(), 1.0).when(internal.isNotNull(), 0.8).otherwise(0.5)

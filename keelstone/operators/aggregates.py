@@ -86,8 +86,7 @@ def pillar1(fact: DataFrame) -> DataFrame:
     return fact.groupBy("calculation_date").agg(
         _total("risk_weighted_assets", "total_rwa"),
         _total("regulatory_capital", "total_capital_req"),
-        F.any_value(F.lit(PILLAR1_REPORT)).alias("report_type"),
-    )
+    ).withColumn("report_type", F.lit(PILLAR1_REPORT))
 
 
 CUSTOMER_CLASS = ["calculation_date", "asset_class", "customer_id"]
@@ -179,8 +178,7 @@ def pillar1_of(summary_rows: DataFrame) -> DataFrame:
     return summary_rows.groupBy("calculation_date").agg(
         F.sum("total_rwa").alias("total_rwa"),
         _total("total_regulatory_capital", "total_capital_req"),
-        F.any_value(F.lit(PILLAR1_REPORT)).alias("report_type"),
-    )
+    ).withColumn("report_type", F.lit(PILLAR1_REPORT))
 
 
 def geo_concentration(fact: DataFrame) -> DataFrame:
@@ -247,15 +245,61 @@ def daily_kpis(fact: DataFrame, distinct: str = "exact") -> DataFrame:
     return with_ratios(measures, "total_capital")
 
 
-def recon_totals(fact: DataFrame) -> DataFrame:
-    """Control totals of the calculated side per date; NULL sums count as 0."""
+def recon_totals(fact: DataFrame, distinct: str = "keyed") -> DataFrame:
+    """Control totals of the calculated side per date; NULL sums count as 0.
+
+    distinct: "keyed" trusts (date, loan) to be the key of the fact, reduces it to one
+    row per customer and class, and counts customers there; "exact" counts loans
+    distinctly too, which shuffles every loan id; "approx" counts both by sketch.
+    """
+    if distinct == "keyed":
+        return recon_totals_of(customer_day_totals(fact))
+    count = {"exact": F.countDistinct, "approx": F.approx_count_distinct}[distinct]
     zero = F.lit(0.0)
     return fact.groupBy("calculation_date").agg(
         F.coalesce(F.sum("outstanding_balance_usd").cast("double"), zero).alias("total_exposure"),
         F.coalesce(F.sum("risk_weighted_assets").cast("double"), zero).alias("total_rwa"),
         F.coalesce(F.sum("regulatory_capital").cast("double"), zero).alias("total_capital"),
-        F.countDistinct("loan_id").alias("loan_count"),
-        F.countDistinct("customer_id").alias("customer_count"),
+        count("loan_id").alias("loan_count"),
+        count("customer_id").alias("customer_count"),
+    )
+
+
+def customer_day_totals(fact: DataFrame) -> DataFrame:
+    """What reconciliation needs of each date and customer."""
+    return fact.groupBy("calculation_date", "customer_id").agg(
+        _total("outstanding_balance_usd", "exposure"),
+        _total("risk_weighted_assets", "rwa"),
+        _total("regulatory_capital", "capital"),
+        F.count("loan_id").alias("loans"),
+    )
+
+
+def recon_totals_of(totals: DataFrame) -> DataFrame:
+    """The control totals from customer totals, by class or not."""
+    zero = F.lit(0.0)
+
+    def total(column):
+        return F.coalesce(F.sum(column).cast("double"), zero)
+
+    customers = totals.groupBy("calculation_date", "customer_id").agg(
+        *(F.sum(c).alias(c) for c in ("exposure", "rwa", "capital", "loans"))
+    )
+    return customers.groupBy("calculation_date").agg(
+        total("exposure").alias("total_exposure"),
+        total("rwa").alias("total_rwa"),
+        total("capital").alias("total_capital"),
+        _total("loans", "loan_count"),
+        F.count("customer_id").alias("customer_count"),
+    )
+
+
+def by_asset_class_of(totals: DataFrame, keys: Sequence[str] = ("asset_class",)) -> DataFrame:
+    """Totals by class from customer-class totals."""
+    return totals.groupBy(*keys).agg(
+        _total("exposure", "calculated_exposure"),
+        _total("rwa", "calculated_rwa"),
+        _total("loans", "loan_count"),
     )
 
 

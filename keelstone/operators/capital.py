@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from keelstone import params
 from keelstone.functions.codes import recode
-from keelstone.operators.joins import hot_keys, skew_join
+from keelstone.operators.joins import skew_join, spread_keys
 
 
 def drawn_undrawn_ead(drawn: Column, limit: Column, commitment: Column) -> Column:
@@ -128,7 +128,7 @@ def allocate_collateral(
     pledged = exposures.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.sum(ead).alias("_pledged_ead")
     )
-    hot = hot_keys(loans if profile is None else profile, key)
+    hot = spread_keys(loans if profile is None else profile, key)
     joined = skew_join(loans, pledged, key, "loan_id", hot=hot)
     part = F.try_divide(F.col(ead), F.col("_pledged_ead"))
     return joined.withColumn(out, F.col(value) * part).drop("_pledged_ead")

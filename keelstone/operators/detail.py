@@ -159,9 +159,10 @@ def detail(
     fx: DataFrame,
     as_of,
     settings: Settings = DEFAULTS,
-    threshold: int = 100,
     salts: int = 10,
     profile: DataFrame | None = None,
+    null_keys: str = "spread",
+    unique_collateral: bool = False,
     **options,
 ) -> DataFrame:
     """Standardised tables to the 25-column fact, one row per loan.
@@ -174,7 +175,7 @@ def detail(
     )
     enriched = joins.enrich(
         converted, ratings, converted_collateral(collateral, fx, settings),
-        settings=settings, threshold=threshold, salts=salts,
-        profile=loans if profile is None else profile,
+        settings=settings, salts=salts, profile=loans if profile is None else profile,
+        null_keys=null_keys, unique_collateral=unique_collateral,
     )
     return calculate(enriched, as_of, settings, **options).select(*schemas.DETAIL_COLUMNS)

@@ -30,6 +30,28 @@ def conversion_rates(fx: DataFrame, ccy: str = DEFAULTS.reporting_currency) -> D
     return quoted.groupBy("fx_currency").agg(F.max_by("fx_rate", "rank").alias("fx_rate"))
 
 
+def with_rate(
+    df: DataFrame, fx: DataFrame, currency: str = "currency", settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Add ``fx_rate``: 1 for the reporting currency, NULL where there is no rate.
+
+    The rate side carries no broadcast hint: it is one row per currency, which
+    Spark sees from its statistics and broadcasts below its own size threshold.
+    """
+    rates = conversion_rates(fx, settings.reporting_currency)
+    joined = df.join(rates, F.col(currency) == F.col("fx_currency"), "left").drop("fx_currency")
+    own = F.when(F.col(currency) == settings.reporting_currency, F.lit(1.0))
+    return joined.withColumn("fx_rate", F.coalesce("fx_rate", own))
+
+
+def without_rate(
+    df: DataFrame, fx: DataFrame, currency: str = "currency", settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Rows that cannot be converted, with the reason: what ``quarantine`` sets aside."""
+    missing = with_rate(df, fx, currency, settings).where("fx_rate IS NULL").drop("fx_rate")
+    return missing.withColumn("reject_reasons", F.array(F.lit(f"no_rate_{currency}")))
+
+
 def to_reporting_ccy(
     df: DataFrame,
     fx: DataFrame,
@@ -40,21 +62,19 @@ def to_reporting_ccy(
 ) -> DataFrame:
     """Add ``out`` = ``amount`` in the reporting currency.
 
-    The rate side carries no broadcast hint: it is one row per currency, which
-    Spark sees from its statistics and broadcasts below its own size threshold.
-    A currency without a rate counts as 1 or gives NULL, by ``settings.missing_fx``.
+    By ``settings.missing_fx`` a currency without a rate counts as 1 (``one``), gives
+    NULL (``null``), or leaves the row out (``quarantine``; see ``without_rate``).
     """
-    if settings.missing_fx not in ("one", "null"):
-        raise ValueError(f"missing_fx must be 'one' or 'null', got {settings.missing_fx!r}")
+    if settings.missing_fx not in ("one", "null", "quarantine"):
+        raise ValueError(
+            f"missing_fx must be 'one', 'null' or 'quarantine', got {settings.missing_fx!r}"
+        )
     num = Numeric(settings.exact)
-    rates = conversion_rates(fx, settings.reporting_currency)
-    # NULL is only possible as "no rate", so the reporting currency stays at 1
-    absent = (
-        F.lit(1.0)
-        if settings.missing_fx == "one"
-        else F.when(F.col(currency) == settings.reporting_currency, F.lit(1.0))
-    )
-    joined = df.join(rates, F.col(currency) == F.col("fx_currency"), "left")
-    factor = num.rate(F.coalesce(F.col("fx_rate"), absent))
-    value = num.money(num.money(F.col(amount)) * factor)
-    return joined.withColumn(out, value).drop("fx_currency", "fx_rate")
+    joined = with_rate(df, fx, currency, settings)
+    if settings.missing_fx == "quarantine":
+        joined = joined.where("fx_rate IS NOT NULL")
+    rate = F.col("fx_rate")
+    if settings.missing_fx == "one":
+        rate = F.coalesce(rate, F.lit(1.0))
+    value = num.money(num.money(F.col(amount)) * num.rate(rate))
+    return joined.withColumn(out, value).drop("fx_rate")

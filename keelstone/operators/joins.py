@@ -11,9 +11,11 @@ from keelstone.functions.numeric import Numeric
 from keelstone.operators.ratings import rating_per_customer
 from keelstone.params import DEFAULTS, Settings
 
-# A hot key must hold more than 1/MAX_HOT_KEYS of all rows, so there are fewer
-# than MAX_HOT_KEYS of them however large the data is.
-MAX_HOT_KEYS = 100_000
+# The one rule by which a join spreads a key: more than SPREAD_LEAST rows and more than
+# this share of all keyed rows, so fewer than 1 / SPREAD_SHARE keys at any size. It
+# decides how rows are laid out, never which rows a query returns.
+SPREAD_SHARE = 1e-5
+SPREAD_LEAST = 100
 ROWS_PER_SALT = 1_000_000
 
 
@@ -30,32 +32,36 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
 
 
-def hot_keys(
+def keys_above(df: DataFrame, key: str, threshold: int = 100) -> DataFrame:
+    """All keys with more than ``threshold`` rows and their rows; as many as there are."""
+    return key_counts(df, key).where(F.col("key_rows") > threshold)
+
+
+def spread_keys(
     df: DataFrame,
     key: str,
-    threshold: int = 100,
     salts: int = 10,
     rows_per_salt: int = ROWS_PER_SALT,
-    max_keys: int = MAX_HOT_KEYS,
+    share: float = SPREAD_SHARE,
+    least: int = SPREAD_LEAST,
 ) -> DataFrame:
-    """Keys with more than ``threshold`` rows, and into how many parts to cut each.
+    """Keys that a join should spread, and into how many parts to cut each.
 
     A key gets at least ``salts`` parts and one more per ``rows_per_salt`` rows, so
-    a key with a third of all rows is cut as finely as it needs to be. A key must
-    also hold more than ``1 / max_keys`` of all keyed rows; that bounds the result
-    to fewer than ``max_keys`` rows, so it may always be broadcast.
+    a key with a third of all rows is cut as finely as it needs to be. ``share`` bounds
+    the result to fewer than ``1 / share`` rows, so it may always be broadcast.
     """
     counts = key_counts(df, key)
     total = counts.agg(F.sum("key_rows")).scalar()
     parts = F.greatest(F.lit(salts), F.ceil(F.col("key_rows") / F.lit(rows_per_salt)))
     return counts.where(
-        (F.col("key_rows") > threshold) & (F.col("key_rows") * F.lit(max_keys) > total)
+        (F.col("key_rows") > least) & (F.col("key_rows") > total * F.lit(share))
     ).select(key, "key_rows", parts.cast("int").alias("n_salts"))
 
 
 def split_by_hot(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key is hot, and all others."""
-    keys = F.broadcast(hot.select(key))
+    """Rows whose key is hot, and all others. ``hot`` may be long, so it carries no hint."""
+    keys = hot.select(key)
     return df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti")
 
 
@@ -76,13 +82,16 @@ def salt_rows(
     return marked.withColumn(salt, value).drop("n_salts")
 
 
-def replicate_rows(df: DataFrame, hot: DataFrame, key: str, salt: str = "_salt") -> DataFrame:
+def replicate_rows(
+    df: DataFrame, hot: DataFrame, key: str, salt: str = "_salt", bounded: bool = True
+) -> DataFrame:
     """Copy the rows of a hot key once per salt; other rows get salt 0.
 
     One scan: the copies come from exploding a sequence, not from a union of a
-    hot and a cold part.
+    hot and a cold part. ``bounded`` says that ``hot`` comes from ``spread_keys``.
     """
-    marked = df.join(F.broadcast(hot.select(key, "n_salts")), key, "left")
+    parts = hot.select(key, "n_salts")
+    marked = df.join(F.broadcast(parts) if bounded else parts, key, "left")
     last = F.coalesce(F.col("n_salts"), F.lit(1)).cast("long") - F.lit(1)
     salts = F.explode(F.sequence(F.lit(0).cast("long"), last))
     return marked.withColumn(salt, salts).drop("n_salts")
@@ -93,22 +102,22 @@ def skew_join(
     right: DataFrame,
     key: str,
     row_id: str | Column,
-    threshold: int = 100,
     salts: int = 10,
     how: str = "left",
     rows_per_salt: int = ROWS_PER_SALT,
     hot: DataFrame | None = None,
+    least: int = SPREAD_LEAST,
 ) -> DataFrame:
     """``left.join(right, key, how)`` for a left side with hot or missing keys.
 
     Same rows as the plain join for ``inner`` and ``left``. ``row_id`` is a column
     (or expression) that differs between left rows. ``hot`` lets a caller pass the
-    hot keys of a narrower table than ``left``.
+    ``spread_keys`` of a narrower table than ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports 'inner' and 'left'")
     if hot is None:
-        hot = hot_keys(left, key, threshold, salts, rows_per_salt)
+        hot = spread_keys(left, key, salts, rows_per_salt, least=least)
     salted = salt_rows(left, hot, key, row_id)
     copies = replicate_rows(right, hot, key)
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
@@ -128,25 +137,37 @@ def attach_counterparty(
     return loans.join(side, "customer_id", "left")
 
 
-def collateral_side(collateral: DataFrame, taken: Sequence[str] = ("currency",)) -> DataFrame:
-    """Collateral with one row per id; names the loans already use get a prefix."""
-    order = ["valuation_date"] if "valuation_date" in collateral.columns else []
-    unique = one_per_key(collateral, "collateral_id", order)
-    clashing = {c for c in unique.columns if c in taken} - {"collateral_id"}
-    return unique.withColumnsRenamed({c: f"collateral_{c}" for c in clashing})
+def collateral_side(
+    collateral: DataFrame, taken: Sequence[str] = ("currency",), unique: bool = False
+) -> DataFrame:
+    """Collateral with one row per id; names the loans already use get a prefix.
+
+    ``unique`` says that the ids are unique already, as those of the staged table are;
+    the table is then shuffled once, for the join itself.
+    """
+    if not unique:
+        order = ["valuation_date"] if "valuation_date" in collateral.columns else []
+        collateral = one_per_key(collateral, "collateral_id", order)
+    clashing = {c for c in collateral.columns if c in taken} - {"collateral_id"}
+    return collateral.withColumnsRenamed({c: f"collateral_{c}" for c in clashing})
 
 
 def attach_collateral(
-    loans: DataFrame, collateral: DataFrame, null_keys: str = "spread", **skew_options
+    loans: DataFrame,
+    collateral: DataFrame,
+    null_keys: str = "split",
+    unique: bool = False,
+    **skew_options,
 ) -> DataFrame:
     """Left join on ``collateral_id``, of which about half is NULL.
 
-    spread: NULL keys are dealt out over all partitions of one shuffle.
     split: loans without collateral skip the join and are added back; reads the
     loans twice, but shuffles only those that have a key.
+    spread: NULL keys are dealt out over all partitions of one shuffle, for loans that
+    are dear to compute twice.
     plain: an ordinary left join, leaving skew to adaptive execution.
     """
-    side = collateral_side(collateral, ["currency", *loans.columns])
+    side = collateral_side(collateral, ["currency", *loans.columns], unique)
     if null_keys == "plain":
         return loans.join(side, "collateral_id", "left")
     if null_keys == "spread":
@@ -161,17 +182,19 @@ def attach_collateral(
 
 
 def attach_rating(
-    loans: DataFrame, ratings: DataFrame, policy: str = DEFAULTS.rating_policy
+    loans: DataFrame,
+    ratings: DataFrame,
+    policy: str = DEFAULTS.rating_policy,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """One external rating per loan; customers rated by several agencies do not fan out.
 
-    The reduced ratings are the smallest side (well below a hundredth of the loans),
-    so this is a plain join without a hint: Spark compares their size with
-    ``spark.sql.autoBroadcastJoinThreshold`` and broadcasts them, or else sorts and
-    merges, where adaptive execution splits a hot customer.
+    A customer with many loans is spread like in every other join by customer. The
+    reduced ratings carry no hint: Spark compares their size with
+    ``spark.sql.autoBroadcastJoinThreshold``.
     """
     side = rating_per_customer(ratings, policy).select("customer_id", "rating", "rating_numeric")
-    return loans.join(side, "customer_id", "left")
+    return skew_join(loans, side, "customer_id", "loan_id", hot=hot)
 
 
 def customer_side(
@@ -193,32 +216,36 @@ def enrich(
     collateral: DataFrame,
     counterparty: DataFrame | None = None,
     settings: Settings = DEFAULTS,
-    threshold: int = 100,
     salts: int = 10,
     profile: DataFrame | None = None,
+    null_keys: str = "spread",
+    unique_collateral: bool = False,
 ) -> DataFrame:
     """Loans with counterparty, rating and collateral: exactly one row per loan.
 
     Both joins are against sides reduced to one row per key, and both are left
     joins, so the number of loans cannot change. The loans are shuffled once by
-    collateral and, when the counterparty is wanted, once by customer.
+    customer and once by collateral. ``null_keys`` is that of ``attach_collateral``:
+    spread here, where the loans come out of a join; split suits a stored table.
 
-    The hot keys are counted on ``profile`` (default: the loans). Any frame with
+    The keys to spread are counted on ``profile`` (default: the loans). Any frame with
     the two key columns will do, such as the stored table the loans were made
     from: the choice affects how rows are spread, never which rows match.
     """
     profile = loans if profile is None else profile
-    if counterparty is None:
-        known = attach_rating(loans, ratings, settings.rating_policy)
-    else:
-        known = skew_join(
-            loans, customer_side(ratings, counterparty, settings.rating_policy),
-            "customer_id", "loan_id",
-            hot=hot_keys(profile, "customer_id", threshold, salts),
-        )
-    return attach_collateral(
-        known, collateral, hot=hot_keys(profile, "collateral_id", threshold, salts)
-    )
+    customers = spread_keys(profile, "customer_id", salts)
+    pledged = spread_keys(profile, "collateral_id", salts)
+
+    def rated(rows):
+        if counterparty is None:
+            return attach_rating(rows, ratings, settings.rating_policy, customers)
+        side = customer_side(ratings, counterparty, settings.rating_policy)
+        return skew_join(rows, side, "customer_id", "loan_id", hot=customers)
+
+    options = {"unique": unique_collateral, "hot": pledged}
+    if null_keys == "split":  # the collateral first: its left side is the table as stored
+        return rated(attach_collateral(loans, collateral, "split", **options))
+    return attach_collateral(rated(loans), collateral, null_keys, **options)
 
 
 # Lookups in fixed tables (tens of rows, so always broadcast) ---------------

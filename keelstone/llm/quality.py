@@ -15,7 +15,6 @@ n-grams of its texts, and no task ever holds the model.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +39,11 @@ SPREAD = 4.0
 PAD = 0xFFFF  # before the first character; a noncharacter, read as U+FFFD within texts
 N_BITS = 40  # of a trusted count beside the group's number
 
+COUNTED = pa.schema([pa.field("ngram", pa.string(), False), pa.field("payload", pa.int64(), False)])
+SCORED = pa.schema(
+    [("doc_id", pa.int64()), ("key", pa.string()), ("lang", pa.string()), ("nats", pa.float64()), ("size", pa.int64())]
+)
+
 
 def _packed(batches):
     """Blocks of the documents of each group in a batch, as compressed Arrow."""
@@ -61,9 +65,9 @@ def _packed(batches):
         )
 
 
-def _opened(blocks):
-    for block in blocks:
-        with pa.ipc.open_stream(block) as reader:
+def _opened(blocks: pa.Table):
+    for block in blocks.column("block"):
+        with pa.ipc.open_stream(block.as_buffer()) as reader:
             yield reader.read_all()
 
 
@@ -136,33 +140,34 @@ def _documents(blocks):
             yield row, _points(text.as_py())
 
 
-def _counted(key, blocks: pd.DataFrame, trusted: pd.DataFrame) -> pd.DataFrame:
+def _counted(key, blocks: pa.Table, trusted: pa.Table) -> pa.Table:
     """Distinct n-grams of a group and how often they occur in its trusted documents."""
-    known = set(trusted["doc_id"].tolist())
-    alphabet = Alphabet(points for _, points in _documents(blocks["block"]))
-    seen, held, counts = [], [], []
-    for chunk in _chunks(_documents(blocks["block"])):
-        codes = np.sort(alphabet.codes([points for _, points in chunk]))
-        seen.append(codes[np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])] if len(codes) else codes)
+    known = set(trusted.column("doc_id").to_pylist())
+    alphabet = Alphabet(points for _, points in _documents(blocks))
+    seen, held, counts = [np.empty(0, dtype=np.int64)], [], []
+    for chunk in _chunks(_documents(blocks)):
+        seen.append(np.unique(alphabet.codes([points for _, points in chunk])))
         if own := [points for row, points in chunk if row[0] in known]:
             found, number = np.unique(alphabet.codes(own), return_counts=True)
             held.append(found)
             counts.append(number)
-    codes = np.unique(np.concatenate(seen)) if seen else np.empty(0, dtype=np.int64)
+    codes = np.unique(np.concatenate(seen))
     total = np.zeros(len(codes), dtype=np.int64)
     for found, number in zip(held, counts, strict=True):
         total[np.searchsorted(codes, found)] += number
-    return pd.DataFrame({"ngram": alphabet.strings(codes), "payload": total + (int(key[0]) << N_BITS)})
+    payload = total + (key[0].as_py() << N_BITS)
+    names = pa.array(alphabet.strings(codes), pa.string())
+    return pa.table([names, pa.array(payload)], schema=COUNTED)
 
 
-def _scored(_key, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+def _scored(_key, blocks: pa.Table, answers: pa.Table) -> pa.Table:
     """Nats and characters of every document of a group."""
-    alphabet = Alphabet(points for _, points in _documents(blocks["block"]))
-    codes = alphabet.of_strings(answers["ngram"])
+    alphabet = Alphabet(points for _, points in _documents(blocks))
+    codes = alphabet.of_strings(answers.column("ngram").to_pylist())
     order = np.argsort(codes)
-    codes, nats = codes[order], -answers["logp"].to_numpy(dtype=np.float64)[order]
-    rows, sums, sizes = [], [], []
-    for chunk in _chunks(_documents(blocks["block"])):
+    codes, nats = codes[order], -answers.column("logp").to_numpy().astype(np.float64)[order]
+    rows, sums, sizes = [], [np.empty(0)], [np.empty(0, dtype=np.int64)]
+    for chunk in _chunks(_documents(blocks)):
         own = alphabet.codes([points for _, points in chunk])
         total = np.r_[0.0, np.cumsum(nats[np.searchsorted(codes, own)])]
         lengths = np.array([len(points) for _, points in chunk])
@@ -170,11 +175,9 @@ def _scored(_key, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows += [row for row, _ in chunk]
         sums.append(total[ends] - total[ends - lengths])
         sizes.append(lengths)
-    out = pd.DataFrame(rows, columns=["doc_id", "key", "lang"])
-    out["doc_id"] = out["doc_id"].astype("Int64")
-    out["nats"] = np.concatenate(sums) if sums else []
-    out["size"] = np.concatenate(sizes) if sizes else []
-    return out
+    columns = [pa.array([row[k] for row in rows], SCORED.field(k).type) for k in range(3)]
+    columns += [pa.array(np.concatenate(sums)), pa.array(np.concatenate(sizes))]
+    return pa.table(columns, schema=SCORED)
 
 
 def log_probabilities(counts: DataFrame) -> DataFrame:
@@ -302,7 +305,7 @@ def score(
     counted = (
         blocks.groupBy("g")
         .cogroup(known.groupBy("g"))
-        .applyInPandas(_counted, "ngram string NOT NULL, payload long NOT NULL")
+        .applyInArrow(_counted, "ngram string NOT NULL, payload long NOT NULL")
         .repartition("ngram")
     )
     counts = counted.groupBy("ngram").agg(
@@ -314,7 +317,7 @@ def score(
     scores = (
         blocks.groupBy("g")
         .cogroup(answers.groupBy("g"))
-        .applyInPandas(_scored, "doc_id long, key string, lang string, nats double, size long")
+        .applyInArrow(_scored, "doc_id long, key string, lang string, nats double, size long")
     )
     return stored(scores, "scores")
 

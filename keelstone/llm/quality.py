@@ -226,7 +226,7 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
     # no context is one key for a quarter of all rows: it comes with the discounts instead,
     # and those rows get a key of their own, longer than any context
     nothing = [F.col(c).alias(f"all_{c}") for c in ("total", "ones", "twos", "more")]
-    root = contexts.where("n = 1").select(F.lit(1).alias("first"), *nothing)
+    root = contexts.where("n = 1").select(F.col("n").alias("first"), *nothing)
     context = F.expr("left(right(ngram, m), m - 1)")
     # like every other use of the counts this needs both columns, so all share one exchange
     asked = counts.where("c >= 0").select("ngram", F.explode(F.sequence(F.lit(1), F.lit(ORDER))).alias("m")).select(

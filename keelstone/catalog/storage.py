@@ -134,7 +134,10 @@ def external_table(spark, d):
         F.count(F.lit(1)).alias("loan_count"),
         F.sum(F.col("outstanding_balance").cast("double")).alias("balance"),
     )
-    return rounded(out, {"balance": 2})
+    report = new_path(spark, "external_report")
+    writers.write_table(rounded(out, {"balance": 2}), report)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(report)
 
 
 @book.query(

@@ -1,6 +1,6 @@
 """Time the daily run on a synthetic portfolio with a hot customer.
 
-    python tools/scale.py [--loans 2000000] [--cpus 8] [--share 0.33]
+    python tools/scale.py [--loans 2000000] [--cpus 8] [--share 0.33] [--out FILE]
 
 Prints one JSON line with the seconds of each stage and loans per second.
 """
@@ -29,6 +29,7 @@ def main() -> None:
     parser.add_argument("--loans", type=int, default=2_000_000)
     parser.add_argument("--cpus", type=int, default=8)
     parser.add_argument("--share", type=float, default=0.33)
+    parser.add_argument("--out", help="file to which the line is appended as well")
     args = parser.parse_args()
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark = (
@@ -83,11 +84,16 @@ def main() -> None:
     timed("detail_without_write", lambda: noop(detail.detail(
         staged["loans"], staged["ratings"], staged["collateral"], staged["fx"], day)))
     timed("multi_level_report", lambda: noop(aggregates.multi_level(fact)))
-    print(json.dumps({
-        "loans": args.loans, "cpus": args.cpus, "hot_customer_share": args.share,
+    line = json.dumps({
+        "loans": args.loans, "cpus": args.cpus, "driver_memory_gb": 16,
+        "hot_customer_share": args.share,
         "run_seconds": round(run, 2), "loans_per_second": round(args.loans / run),
         "seconds": seconds,
-    }))
+    })
+    print(line)
+    if args.out:
+        with open(args.out, "a") as file:
+            file.write(line + "\n")
     spark.stop()
 
 

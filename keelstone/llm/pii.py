@@ -144,6 +144,13 @@ def redact(text: str, findings: list[tuple[str, int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
+def clean(text: str | None) -> str | None:
+    """The text with all findings replaced, also those that only show once others are gone."""
+    while text and (findings := spans(text)):
+        text = redact(text, findings)
+    return text
+
+
 def _joined(findings) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in findings)
 
@@ -185,8 +192,7 @@ def mask(docs: DataFrame, text_column: str = "text", length_column: str = "n_cha
 
     def masked(batches):
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            texts = [t and redact(t, spans(t)) for t in texts]
+            texts = [clean(text) for text in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.types[place]))
 
     out = docs.mapInArrow(masked, docs.schema)

@@ -69,13 +69,18 @@ TEMPLATES = {
         Permission to use, copy, modify, and[[/or]] distribute this software for any purpose with or
         without fee is hereby granted, provided that the above copyright notice and this permission
         notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND {{6}} DISCLAIMS ALL WARRANTIES
-        WITH REGARD TO THIS SOFTWARE
+        WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO
+        EVENT SHALL {{6}} BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY
+        DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+        NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+        THIS SOFTWARE.
     """,
     "apache-2-header": """
         Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
         in compliance with the License. You may obtain a copy of the License at {{12}} Unless required by
         applicable law or agreed to in writing, software distributed under the License is distributed on
         an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+        See the License for the specific language governing permissions and limitations under the License.
     """,
     "gpl-notice": """
         [[This work is]] licensed under the GNU General Public License[[, version {{2}}]]

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keelstone.llm import (
     embeddings,
+    exact_dedup,
     fingerprints,
     html_text,
     licenses,
@@ -76,6 +77,11 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the documents with equal text stays, for every document."""
+    return exact_dedup.classify(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +95,18 @@ QUERIES = {
         op8_simhash,
         op9_packing,
         op10_embeddings,
+        op12_exact_dedup,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op12_exact_dedup": r"""
+        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+        FROM (
+            SELECT doc_id,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
+            FROM documents
+        )
+        WINDOW w AS (PARTITION BY norm)
+    """,
+}

@@ -18,6 +18,7 @@ from keelstone.llm import (
     secrets,
     simhash,
     source_audit,
+    whitening,
 )
 from keelstone.llm.common import read
 
@@ -88,6 +89,11 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classify(read(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading whitened components of every embedding."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -103,6 +109,7 @@ QUERIES = {
         op10_embeddings,
         op11_source_audit,
         op12_exact_dedup,
+        op13_whitening,
     )
 }
 SQL: dict[str, str] = {

@@ -14,7 +14,7 @@ from keelstone.llm.queries import QUERIES, vocabulary
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(QUERIES) <= set(names) and "pipeline" in names
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from keelstone.catalog.book import Book, rounded
 from keelstone.catalog.joins import MOVES_SQL, exposed, hot
 from keelstone.catalog.sqlparts import sql
-from keelstone.operators import aggregates as agg, joins, ratings, trend
+from keelstone.operators import aggregates as agg, joins, ratings, states, trend
 from keelstone.sinks import writers
 from keelstone.sinks.scratch import new_path
 from keelstone.sources import reference, testviews as tv
@@ -162,8 +162,22 @@ KPI_SQL = """SELECT calculation_date, count(DISTINCT loan_id) AS total_loans,
   FROM {fact} GROUP BY 1"""
 
 
+@book.query("agg_daily_kpis_bitmap", sql(KPI_SQL.format(fact="fact_month"), "fact_month"))
+def daily_kpis_bitmap(spark, d):
+    """Exact distinct counts by bitmaps over the stored fact, which is never expanded."""
+    path = new_path(spark, "kpi_fact")
+    writers.write_table(tv.fact(spark, d, "month").select(*states.COLUMNS), path)
+    fact = spark.read.parquet(path)
+    numbers = {}
+    for key in states.KEYS:
+        writers.write_table(states.number_keys(fact, key), f"{path}-{key}")
+        numbers[key] = spark.read.parquet(f"{path}-{key}")
+    return rounded(states.kpis_of_states(states.kpi_states(fact, numbers)), KPI_DIGITS)
+
+
 @book.query("agg_daily_kpis", sql(KPI_SQL.format(fact="fact_month"), "fact_month"))
 def daily_kpis(spark, d):
+    """Plain distinct counts, which expand every row of the fact."""
     return rounded(agg.daily_kpis(tv.fact(spark, d, "month")), KPI_DIGITS)
 
 

@@ -19,9 +19,10 @@ from keelstone.catalog.reports import KPI_DIGITS, KPI_SQL, SUMMARY_DIGITS, SUMMA
 from keelstone.catalog.checks import DAYS_SQL
 from keelstone.catalog.sqlparts import sql
 from keelstone.catalog.standardise import FX_HISTORY_SQL, fx_history
-from keelstone.operators import aggregates as agg, reconcile as rc
+from keelstone.operators import aggregates as agg, reconcile as rc, states
 from keelstone.sinks import layout, tables, writers
 from keelstone.sinks.scratch import new_path
+from keelstone.sinks.states import KpiStates
 from keelstone.sources import readers, reference, testviews as tv
 from keelstone.sources.reference import literal_table
 
@@ -301,14 +302,17 @@ def compact(spark, d):
 
 @book.query("snk_materialized_kpis", sql(KPI_SQL.format(fact="fact_month"), "fact_month"))
 def materialized_kpis(spark, d):
-    """The stored aggregate of all dates, then one date refreshed from the fact."""
+    """States and dashboard rows of all dates; then one date is stored again and refreshed."""
     path, detail = new_path(spark, "daily_kpis"), new_path(spark, "rwa_detail")
-    writers.write_partitioned(tv.fact(spark, d, "month"), detail, ["calculation_date"])
-    fact = readers.read_fact(spark, detail)
-    kpis = agg.daily_kpis_of(agg.customer_class_totals(fact))
-    writers.write_partitioned(kpis, path, ["calculation_date"])
-    writers.refresh_kpis(fact, path, LAST)
-    return rounded(readers.read_fact(spark, path), KPI_DIGITS)
+    fact = tv.fact(spark, d, "month").select(*states.COLUMNS)
+    writers.write_partitioned(fact, detail, states.SLICE)
+    kpis = KpiStates(spark, detail, path)
+    kpis.build()
+    again = new_path(spark, "rwa_detail_of_a_day")
+    writers.write_table(readers.read_fact(spark, detail, LAST), again)
+    writers.replace_slice(spark.read.parquet(again), detail, "calculation_date", LAST, ["asset_class"])
+    kpis.refresh(LAST)
+    return rounded(readers.read_fact(spark, f"{path}/kpis"), KPI_DIGITS)
 
 
 @book.query(

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keelstone import schemas
-from keelstone.operators import aggregates
 
 
 def optimise_partitions(df: DataFrame, columns: Sequence[str], n: int = 200) -> DataFrame:
@@ -59,6 +58,28 @@ def only_date(df: DataFrame, column: str, day: dt.date) -> DataFrame:
     )
 
 
+def _slice_files(spark: SparkSession, folder: str) -> list:
+    """The file system and data files below the folder of a slice; none where it does not exist."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(folder)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    if fs.exists(place):
+        files = fs.listFiles(place, True)
+        while files.hasNext():
+            file = files.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                found.append(file)
+    return [fs, found]
+
+
+def _remove_left_over(fs, files: list) -> None:
+    """Delete the files of an earlier run that the present one has not replaced."""
+    for folder in {f.getParent() for f in files if fs.exists(f) and fs.delete(f, False)}:
+        if not len(fs.listStatus(folder)):
+            fs.delete(folder, True)
+
+
 def replace_slice(
     df: DataFrame,
     path: str,
@@ -72,16 +93,21 @@ def replace_slice(
 
     ``seen`` observes the headline numbers in the stage that writes.
 
-    The slice is the folder ``column=day``, rewritten as a whole. A rerun with
-    fewer classes therefore leaves none of the earlier run's classes behind,
-    which overwriting only the partitions that occur again would.
+    The new rows are staged and swapped in when the job commits, so a run that fails
+    anywhere leaves the old slice as it was. Classes that only the earlier run had are
+    removed after that, so a rerun leaves none behind; where removal itself is cut
+    short, the next run of the date completes it.
     """
-    checked = only_date(df, column, day).where(F.col(column).isNotNull()).drop(column)
+    spark, folder = df.sparkSession, f"{path}/{column}={day.isoformat()}"
+    checked = only_date(df, column, day).where(F.col(column).isNotNull())
     placed = spread(checked, by, n)
+    fs, before = _slice_files(spark, folder)
     writer = (placed if seen is None else watched(placed, seen)).write.mode("overwrite")
-    if by:
-        writer = writer.partitionBy(*by)
-    writer.parquet(f"{path}/{column}={day.isoformat()}")
+    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(column, *by)
+    writer.parquet(path)
+    _remove_left_over(fs, before)
+    if not by and not _slice_files(spark, folder)[1]:  # a date without rows still has a schema
+        spark.createDataFrame([], checked.drop(column).schema).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def export_parquet(
@@ -131,13 +157,6 @@ def compact(
     ).parquet(path)
 
 
-def refresh_kpis(fact: DataFrame, path: str, day: dt.date) -> None:
-    """Recompute one date of the stored dashboard aggregate from the fact."""
-    slice_ = fact.where(F.col("calculation_date") == F.lit(day))
-    kpis = aggregates.daily_kpis_of(aggregates.customer_class_totals(slice_))
-    replace_slice(kpis, path, "calculation_date", day, n=1)
-
-
 def write_report(results: DataFrame, path: str, fmt: str = "json", date: str = "date") -> None:
     """Store a check or reconciliation report as JSON or CSV under its date.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from keelstone.catalog.book import Book, rounded
 from keelstone.catalog.joins import MOVES_SQL, exposed, hot
 from keelstone.catalog.sqlparts import sql
-from keelstone.operators import aggregates as agg, joins, ratings, states, trend
+from keelstone.operators import aggregates as agg, cells, joins, ratings, states, trend
 from keelstone.sinks import writers
 from keelstone.sinks.scratch import new_path
 from keelstone.sources import reference, testviews as tv
@@ -235,6 +235,38 @@ def duplicates(spark, d):
     return agg.duplicates(tv.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@book.query(
+    "agg_duplicates_cells",
+    """SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
+    GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+def duplicates_cells(spark, d):
+    """Same keys, counting only rows whose cell of a bounded array holds two."""
+    return cells.duplicates(tv.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@book.query(
+    "agg_repeated_parts",
+    """SELECT l_partkey, l_suppkey, l_shipdate, count(*) AS row_count FROM lineitem
+    GROUP BY 1, 2, 3 HAVING count(*) > 1""",
+)
+def repeated_parts(spark, d):
+    """Deliveries of one part by one supplier on one day: repeats there are."""
+    lines = tv.table(spark, d, "lineitem")
+    return cells.duplicates(lines, ["l_partkey", "l_suppkey", "l_shipdate"])
+
+
+@book.query(
+    "agg_hot_keys_sketch",
+    """SELECT o_custkey AS customer_id, count(*) AS key_rows FROM orders
+    GROUP BY 1 HAVING count(*) > 15""",
+)
+def hot_keys_sketch(spark, d):
+    """Hot customers, counted among the candidates of a count-min sketch."""
+    orders = tv.table(spark, d, "orders").select(F.col("o_custkey").alias("customer_id"))
+    return cells.keys_above(orders, "customer_id", 15)
+
+
 @book.query(
     "agg_hot_keys",
     """SELECT o_custkey AS customer_id, count(*) AS key_rows FROM orders

@@ -13,6 +13,7 @@ from keelstone.functions import codes, risk
 from keelstone.operators import aggregates, detail as det, fx as fx_ops, joins, ratings, reconcile
 from keelstone.operators import standardise as std, trend
 from keelstone.params import Settings
+from keelstone.sinks.bucketed import CoLocated
 from keelstone.sources import reference, testviews as tv
 
 book = Book()
@@ -169,6 +170,33 @@ def collateral(spark, d):
     )
 
 
+@book.query(
+    "jn_collateral_bucketed",
+    sql(
+        """SELECT l.loan_id, l.collateral_id, c.collateral_type, c.adjusted_collateral_value,
+          c.currency AS collateral_currency
+        FROM loans_plain l LEFT JOIN clean_collateral c ON c.collateral_id = l.collateral_id""",
+        "loans_plain", "clean_collateral",
+    ),
+)
+def collateral_bucketed(spark, d):
+    """The same join over tables stored by its key: shuffled when stored, not when joined."""
+    loans = tv.loans(spark, d, with_customer=False).select("loan_id", "collateral_id")
+    side = tv.clean_collateral(spark, d).select(
+        "collateral_id", "collateral_type", "adjusted_collateral_value",
+        F.col("currency").alias("collateral_currency"),
+    )
+    stored = CoLocated(spark, "collateral_id", buckets=8)
+    stored.store_rows(loans, hot=spread(spark, d, "collateral_id"))
+    stored.store_side(side)
+    return plain(
+        stored.joined().select(
+            "loan_id", "collateral_id", "collateral_type", "adjusted_collateral_value",
+            "collateral_currency",
+        )
+    )
+
+
 @book.query(
     "jn_ratings",
     sql(

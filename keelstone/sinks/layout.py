@@ -29,11 +29,12 @@ def ordinal(df: DataFrame, column: str) -> Column:
 def text_bounds(df: DataFrame, column: str, bits: int) -> Column:
     """Up to ``2^bits`` bounds of a text column: the highest values of a range partitioning.
 
-    Spark places the ranges by whole values, so texts that begin alike are told apart.
+    The distinct values are ranged, not the rows, so a value that many rows have is one
+    row of one task. Spark places the ranges by whole values, so texts that begin alike
+    are told apart.
     """
-    ranged = (
-        df.select(F.col(column).alias("value")).dropna().repartitionByRange(2**bits, "value")
-    )
+    values = df.select(F.col(column).alias("value")).dropna().distinct()
+    ranged = values.repartitionByRange(2**bits, "value")
     highest = ranged.groupBy(F.spark_partition_id().alias("place")).agg(F.max("value").alias("top"))
     return highest.agg(F.array_sort(F.collect_set("top"))).scalar()
 

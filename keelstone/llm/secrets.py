@@ -1,13 +1,20 @@
 """Secrets in texts, with a random forest that removes false findings.
 
-Candidates are words with digits or with an assignment to a telling name. A random
-forest, trained on labelled findings, decides from a candidate's length, the kinds of
-characters and the transitions between them, how much of it dictionary words cover,
-whether it stands in a path, and the words around it. DataFrame and SQL functions only.
+Candidates are words of at least ``SHORTEST`` characters with a digit, or ``LETTERS``
+with many changes of case; words of any length that a telling name announces, before them
+or in the same word; and words with a published prefix. A random forest, trained on
+labelled findings, decides from a candidate's length, the kinds of characters and the
+transitions between them, how much of it dictionary words cover, whether it stands in a
+path, and the words around it. DataFrame and SQL functions only.
+
+A text is cut into blocks of ``BLOCK`` words, each with the words around it and its place
+in the text, so the work of a text grows with its length whatever its candidates.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -20,6 +27,10 @@ SEED = 1
 #: Candidates at least as probable are secrets.
 DECISION = 0.5
 SHORTEST = 8
+#: Words of letters only are candidates from this length and this many changes to capitals.
+LETTERS = 16
+#: Words of a text that are looked at together.
+BLOCK = 128
 #: Words before and after a candidate that count as its neighbours.
 NEAR = 3
 #: Labelled findings of each kind.
@@ -32,16 +43,28 @@ CALM = "example|sample|dummy|placeholder|checksum|md5|sha1|sha256|commit|revisio
 WORDS = (
     "password|secret|token|example|sample|test|dummy|change|here|your|access|admin|user|default|value|"
     "index|image|static|assets|build|release|report|version|config|server|client|public|private|local|"
-    "name|page|article|content|download|upload|file|data|http|https|www|com|org|net|mail|html|json|the|and"
+    "name|page|article|content|download|upload|file|data|http|https|www|com|org|net|mail|html|json|the|and|"
+    "required|must|not|see|that|this|should|have|been|will|with|from|when|what|which|incorrect|invalid|"
+    "missing|expired|forgotten|reset|empty|none|null|true|false|optional|stored|sent|used|needed|wrong|"
+    "correct|below|above|following|only|never|always|again|please|enter|type|old|new|reporting|nicht|wird|"
+    "und|der|die|das|est|pas|les|des|une|que|los|las|una|por|para"
 )
 PAIRS = "th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|ed|is|it|al|ar|st|to|nt|ng|se|ha|ou|io|le|ve|co|me|de|ch|ei|ie"
 PREFIXES = r"AKIA|ASIA|AIza|ghp_|gho_|github_pat_|glpat-|sk_live_|rk_live_|xox[abprs]-|eyJ|SG\."
 
 SPACE = r"\x20\x09-\x0D"
+BLANKS = " \t\n\x0b\x0c\r"
 UNIT = rf"(?<=[{SPACE}])(?=[^{SPACE}])"
 EDGES = r"""^[(\["'`<{]+|[)\]"'`>},;.!?]+$"""
 ASSIGNED = r"""^([A-Za-z_][A-Za-z0-9_.\-]{0,40})["']?(?:=>|:=|=|:)["']?(.+)$"""
-ANY_CANDIDATE = rf"[0-9]|(?i)(?:{CUES})[a-z0-9_\-]*[\"']?[=:]"
+OPEN = r"""["'`(\[{<]*"""
+NAMED = rf"""(?i:{CUES})[A-Za-z0-9_.\-]*["'\]`)]*"""
+#: What ends the words before an announced one, and the signs it needs at least.
+ANNOUNCED = rf"{NAMED}[{SPACE}]*(?:=>|:=|=|:|(?i:[{SPACE}]is))[{SPACE}]*$"
+SIGNED = rf"(?:[=:>]|(?i:is))[{SPACE}]*$"
+OWN = rf"{NAMED}(?:=>|:=|=|:){OPEN}[A-Za-z0-9]"
+CAPITALS = "(?:[a-z0-9][A-Z].*){3}"
+ANY_CANDIDATE = rf"[0-9]|(?i:{CUES})|{PREFIXES}|[a-z][A-Z]"
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -56,7 +79,7 @@ def features(found: DataFrame) -> DataFrame:
     value = F.regexp_replace(F.when(assigned != "", assigned).otherwise(bare), EDGES, "")
     found = found.withColumns({"value": value, "name": name})
     value, lowered = F.col("value"), F.lower("value")
-    near = F.lower(F.concat_ws(" ", "before", "name"))
+    near = F.trim(F.lower(F.concat_ws(" ", "before", "name")))
     uncovered = F.length(F.regexp_replace(lowered, WORDS, ""))
 
     def flag(column: Column, pattern: str) -> Column:
@@ -80,7 +103,7 @@ def features(found: DataFrame) -> DataFrame:
             "f_at": flag(value, "@"),
             "f_hex": flag(value, "^[0-9a-f]+$|^[0-9A-F]+$"),
             "f_number": flag(value, r"^[+(]?[0-9][0-9().,:/\-]*$"),
-            "f_cue": flag(near, rf"(?:{CUES})[a-z0-9_]*[\"']? ?(?:=>|=|:|is)?$|(?:{CUES})[a-z0-9_]* (?:is|=|:) "),
+            "f_cue": flag(near, rf"(?:{CUES})[a-z0-9_.\-]*[\"'\]`)]* ?(?:=>|:=|=|:|is)?$"),
             "f_calm": flag(F.lower(F.concat_ws(" ", "before", "name", "after")), CALM),
             "f_prefix": flag(value, rf"^(?:{PREFIXES})"),
         }
@@ -118,6 +141,11 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
     plain = ["the report said that", "we went on and", "und der die", "que la casa es", "dans le monde"]
     around = F.get(F.array(*map(F.lit, plain)), (F.col("id") % len(plain)).cast("int"))
     number = F.col("id") * 7 + 11
+    things = F.array(*map(F.lit, "Garden Silver Monkey Window Purple Winter Bridge Coffee Horse Candle River".split()))
+
+    def thing(step):
+        return F.get(things, ((F.col("id") * step + step) % 11).cast("int"))
+
     secret = [
         ("", F.concat(F.lit("AKIA"), upper)),
         ("password", F.concat(F.lit("password="), hexes(18))),
@@ -134,6 +162,17 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
         ("", F.concat(F.lit('"client_secret":"'), hexes(32), F.lit('"'))),
         ("pwd:", F.concat(letters, hexes(4), F.lit("!"))),
         ("aws key", F.concat(F.lit("ASIA"), upper)),
+        ("key", F.concat(F.lit("AKIA"), F.translate(upper, "0123456789", "QZXKMTWJVY"))),
+        ("token:", F.concat(F.lit("ghp_"), F.translate(F.concat(mixed, hexes(10)), "0123456789", "qZxKmTwJvY"))),
+        ("password:", F.concat(F.initcap(letters), F.initcap(F.reverse(letters)))),
+        ("Password:", F.concat(F.initcap(mapped(7, "etaoinshrdlucmfw", 3)), F.initcap(mapped(6, "wfmculdrhsnioate", 9)))),
+        ("password =", F.concat(F.initcap(mapped(6, "etaoinshrdlucmfw", 5)), F.lit("Secret"), F.lit("Pass!"))),
+        ("password:", F.concat(mapped(3, "abcdefghklmnprst"), F.substring(digits, 1, 3))),
+        ("password:", F.concat(thing(1), thing(3), thing(7))),
+        ("passphrase =", F.concat(thing(2), thing(5), F.lit("!"))),
+        ("Passwort:", F.concat(F.lower(thing(4)), thing(9), thing(2), F.col("id"))),
+        ("passwd is", F.concat(mapped(5, "abcdefghklmnprst"), F.substring(digits, 1, 2), F.lit("!"))),
+        ("secret =", F.concat(F.lit("'"), mapped(9, "aZ3kQ9xWb7LtR2sY"), F.lit("'"))),
     ]
     harmless = [
         ("mail to", F.concat(letters, F.lit("."), number, F.lit("@mail.example.com"))),
@@ -157,18 +196,29 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
         ("at", F.concat(F.lit("section"), number, F.lit("paragraph"), F.col("id"))),
         ("for", F.concat(number, F.lit(",000,000.00"))),
         ("user", F.concat(F.lit("user_name_default_"), number)),
+        ("the password is", F.get(F.array(*map(F.lit, "required not stored sent wrong never expired".split())), (F.col("id") % 7).cast("int"))),
+        ("password:", F.get(F.array(*map(F.lit, "see must please none enter the this".split())), (F.col("id") % 7).cast("int"))),
+        ("the secret is", F.get(F.array(*map(F.lit, "that in the not always to of".split())), (F.col("id") % 7).cast("int"))),
+        ("token =", F.get(F.array(*map(F.lit, "null none true false empty the optional".split())), (F.col("id") % 7).cast("int"))),
+        ("author:", F.initcap(mapped(6, "etaoinshrdlucmfw", 2))),
+        ("see", F.concat(F.lit("get"), F.initcap(mapped(5, "etaoinshrdlucmfw")), F.lit("FromServerConfig"))),
+        ("the", F.concat(F.initcap(mapped(7, "etaoinshrdlucmfw", 4)), F.lit("ReportPageIndex"))),
+        ("token is", F.concat(number, F.lit("."))),
+        ("", F.concat(F.lit("password:"), F.lit("change_me"))),
+    ]
+    rows = [
+        F.struct(
+            F.trim(F.concat_ws(" ", around, F.lit(before))).alias("before"),
+            word.cast("string").alias("word"),
+            around.alias("after"),
+            F.lit(label).alias("label"),
+        )
+        for label, kinds in ((1.0, secret), (0.0, harmless))
+        for before, word in kinds
     ]
-    out = None
-    for label, kinds in ((1.0, secret), (0.0, harmless)):
-        for before, word in kinds:
-            rows = numbers.select(
-                F.trim(F.concat_ws(" ", around, F.lit(before))).alias("before"),
-                word.cast("string").alias("word"),
-                around.alias("after"),
-                F.lit(label).alias("label"),
-            )
-            out = rows if out is None else out.union(rows)
-    return out
+    # a few kinds a projection: all in one exceed what Spark compiles, each by itself is slow to plan
+    parts = [numbers.select(F.inline(F.array(*rows[k : k + 6]))) for k in range(0, len(rows), 6)]
+    return functools.reduce(DataFrame.union, parts)
 
 
 def train(findings: DataFrame) -> RandomForestClassificationModel:
@@ -193,26 +243,59 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")
     ).where(F.col("text").rlike(ANY_CANDIDATE))
     # units are words with the space that follows, so nothing of the text is lost
-    units = rows.select("doc_id", F.split("text", UNIT, -1).alias("units"))
-    telling = (
-        f"length(u) >= {SHORTEST} AND (u RLIKE '[0-9]' OR u RLIKE '(?i)(?:{CUES})[a-z0-9_-]*.?[=:].{{4,}}')"
+    rows = rows.select("doc_id", F.split("text", UNIT, -1).alias("units"))
+    numbers = F.sequence(F.lit(0), F.floor((F.size("units") - 1) / BLOCK).cast("int"))
+    rows = rows.select(
+        "doc_id",
+        "units",
+        F.transform(
+            numbers,
+            lambda b: F.aggregate(
+                F.slice("units", b * BLOCK + 1, BLOCK), F.lit(0).cast("long"), lambda n, u: n + F.length(u)
+            ),
+        ).alias("sizes"),
+    )
+    # a block, the words around it, and where in the text it begins
+    around = F.transform(
+        numbers,
+        lambda b: F.struct(
+            F.aggregate(F.slice("sizes", 1, b), F.lit(0).cast("long"), lambda n, x: n + x).alias("at"),
+            F.least(b * BLOCK, F.lit(NEAR)).alias("lead"),
+            F.slice("units", F.greatest(b * BLOCK - NEAR, F.lit(0)) + 1, BLOCK + F.least(b * BLOCK, F.lit(NEAR)) + NEAR).alias("near"),
+        ),
     )
-    places = F.expr(
-        "filter(transform(units, (u, i) -> CASE WHEN " + telling + " THEN i END), i -> i IS NOT NULL)"
+    blocks = rows.select("doc_id", F.inline(around))
+
+    def telling(u: Column, i: Column) -> Column:
+        word = F.rtrim(u, F.lit(BLANKS))
+        long = F.length(word) >= SHORTEST
+        shape = long & (word.rlike("[0-9]") | ((F.length(word) >= LETTERS) & word.rlike(CAPITALS)))
+        last = F.coalesce(F.get("near", i - 1), F.lit(""))
+        two = F.concat(F.coalesce(F.get("near", i - 2), F.lit("")), last)
+        announced = last.rlike(SIGNED) & two.rlike(ANNOUNCED) & word.rlike("[A-Za-z0-9]")
+        own = F.col("lead").cast("int")
+        inside = (i >= own) & (i < own + BLOCK)
+        return inside & (shape | word.rlike(f"^{OPEN}(?:{PREFIXES})") | word.rlike(OWN) | announced)
+
+    places = F.filter(
+        F.transform("near", lambda u, i: F.when(telling(u, i), i)), lambda i: i.isNotNull()
     )
+
+    def joined(first: Column, n: Column | int) -> Column:
+        text = F.array_join(F.slice("near", first, n), "")
+        return F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
+
+    i = F.col("i")
+    before = F.slice("near", F.col("lead") + 1, i - F.col("lead"))
     return (
-        units.withColumn("i", F.explode(places))
-        .withColumns(
-            {
-                "start": F.expr("aggregate(slice(units, 1, i), 0L, (n, u) -> n + length(u))"),
-                "before": F.expr(f"trim(array_join(slice(units, greatest(i - {NEAR} + 1, 1), least(i, {NEAR})), ' '))"),
-                "word": F.regexp_replace(F.expr("get(units, i)"), rf"[{SPACE}]+$", ""),
-                "after": F.expr(f"trim(array_join(slice(units, i + 2, {NEAR}), ' '))"),
-            }
+        blocks.withColumn("i", F.explode(places))
+        .select(
+            "doc_id",
+            (F.col("at") + F.aggregate(before, F.lit(0).cast("long"), lambda n, u: n + F.length(u))).alias("start"),
+            joined(F.greatest(i - NEAR, F.lit(0)) + 1, F.least(i, F.lit(NEAR))).alias("before"),
+            F.rtrim(F.get("near", i), F.lit(BLANKS)).alias("word"),
+            joined(i + 2, NEAR).alias("after"),
         )
-        .withColumn("start", F.col("start") + F.length("word") - F.length(F.regexp_replace("word", rf"^[{SPACE}]+", "")))
-        .withColumn("word", F.regexp_replace("word", rf"^[{SPACE}]+", ""))
-        .drop("units", "i")
     )
 
 

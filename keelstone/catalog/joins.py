@@ -10,7 +10,8 @@ from keelstone import schemas
 from keelstone.catalog.book import Book, plain, rounded
 from keelstone.catalog.sqlparts import bucket, sql
 from keelstone.functions import codes, risk
-from keelstone.operators import aggregates, detail as det, fx as fx_ops, joins, ratings, reconcile
+from keelstone.operators import aggregates, detail as det, effective, fx as fx_ops, joins, ratings
+from keelstone.operators import reconcile
 from keelstone.operators import standardise as std, trend
 from keelstone.params import Settings
 from keelstone.sinks.bucketed import CoLocated
@@ -445,21 +446,21 @@ def star(spark, d):
 SPLIT = dt.date(1998, 1, 1)
 
 
-@book.query(
-    "jn_effective_dated",
-    sql(
-        f"""SELECT l.loan_id, l.run_date AS calculation_date, l.asset_class, l.rating_bucket,
-          round(w.risk_weight * CASE WHEN l.run_date < DATE '1998-01-01' THEN 0.5e0 ELSE 1e0 END, 4)
-            AS effective_risk_weight
-        FROM (SELECT *, {bucket("coalesce(internal_rating, 'BBB')")} AS rating_bucket
-              FROM clean_loans_month) l
-        LEFT JOIN weights w ON w.asset_class = l.asset_class AND w.rating_bucket = l.rating_bucket
-          AND w.rating_bucket IN ('AAA','AA','A','BBB','BB','B')
-          AND l.run_date >= DATE '1990-01-01'""",
-        "clean_loans_month", "weights",
-    ),
+EFFECTIVE_SQL = sql(
+    f"""SELECT l.loan_id, l.run_date AS calculation_date, l.asset_class, l.rating_bucket,
+      round(w.risk_weight * CASE WHEN l.run_date < DATE '1998-01-01' THEN 0.5e0 ELSE 1e0 END, 4)
+        AS effective_risk_weight
+    FROM (SELECT *, {bucket("coalesce(internal_rating, 'BBB')")} AS rating_bucket
+          FROM clean_loans_month) l
+    LEFT JOIN weights w ON w.asset_class = l.asset_class AND w.rating_bucket = l.rating_bucket
+      AND w.rating_bucket IN ('AAA','AA','A','BBB','BB','B')
+      AND l.run_date >= DATE '1990-01-01'""",
+    "clean_loans_month", "weights",
 )
-def effective_dated(spark, d):
+
+
+def _loans_and_versions(spark, d):
+    """Rated loans by month, and the weights before and since a date."""
     ref = reference.effective_risk_weights(
         spark,
         [("earlier", dt.date(1990, 1, 1), SPLIT, 0.5), ("current", SPLIT, None, 1.0)],
@@ -470,7 +471,18 @@ def effective_dated(spark, d):
         "loan_id", month.alias("calculation_date"), "asset_class",
         codes.rating_bucket(rating).alias("rating_bucket"),
     )
-    return plain(joins.as_of_lookup(loans, ref, ["asset_class", "rating_bucket"]))
+    return loans, ref, ["asset_class", "rating_bucket"]
+
+
+@book.query("jn_effective_dated", EFFECTIVE_SQL)
+def effective_dated(spark, d):
+    return plain(joins.as_of_lookup(*_loans_and_versions(spark, d)))
+
+
+@book.query("jn_effective_dated_union", EFFECTIVE_SQL)
+def effective_dated_union(spark, d):
+    """The same by sorting versions and dates together once per key."""
+    return plain(effective.as_of_union(*_loans_and_versions(spark, d)))
 
 
 # Per-loan calculations ---------------------------------------------------------

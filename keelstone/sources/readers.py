@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,10 @@ from pyspark.sql import types as T
 
 from keelstone import schemas
 
+#: Folder of the rows without a partition value.
+MISSING = "__HIVE_DEFAULT_PARTITION__"
+PARTITIONS_PER_CALL = 500
+
 
 def read_snapshot(
     spark: SparkSession,
@@ -78,6 +83,19 @@ def trailing_days(
     return table.where(F.col(partition).between(F.lit(first), F.lit(last)))
 
 
+def new_partitions(spark: SparkSession, name: str, path: str, column: str) -> list[str]:
+    """Values of ``column`` that have a folder below ``path`` but are no partitions yet.
+
+    One listing of the table's folder; what lies in the folders is not looked at.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    names = {x.getPath().getName() for x in found if x.isDirectory()}
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    return sorted(x.partition("=")[2] for x in names - known if x.startswith(f"{column}="))
+
+
 def register_external(
     spark: SparkSession,
     name: str,
@@ -85,7 +103,12 @@ def register_external(
     schema: T.StructType,
     partition: tuple[str, str] = ("snapshot_date", "date"),
 ) -> DataFrame:
-    """Register a date-partitioned Parquet folder as a table and find its partitions."""
+    """Register a date-partitioned Parquet folder as a table, or its new days if it is one.
+
+    Only folders that came since the last call are registered, by name; the others are
+    not listed again. Rows without a date lie in the folder of missing values, for which
+    Spark has no name: it is found by a repair of the table, once.
+    """
     column, kind = partition
     fields = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != column
@@ -94,7 +117,13 @@ def register_external(
         f"CREATE TABLE IF NOT EXISTS {name} ({fields}, `{column}` {kind}) "
         f"USING parquet PARTITIONED BY (`{column}`) LOCATION '{path}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    new = [unquote(x) for x in new_partitions(spark, name, path, column)]
+    if MISSING in new:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        return spark.table(name)
+    for at in range(0, len(new), PARTITIONS_PER_CALL):
+        parts = " ".join(f"PARTITION (`{column}` = '{x}')" for x in new[at : at + PARTITIONS_PER_CALL])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
     return spark.table(name)
 
 

@@ -29,6 +29,10 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 DROPPED_TAGS = frozenset(
     "script style noscript template title head textarea select button svg math iframe object canvas".split()
 )
+#: Of these, what ends only at its own end tag; the others may be left open.
+RAW_TAGS = frozenset("script style title textarea head".split())
+#: Of these, what holds no other of its kind: one that begins before the end leaves it open.
+FLAT_TAGS = frozenset("button select iframe canvas".split())
 CHROME_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
 CHROME_NAMES = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies "
@@ -36,6 +40,9 @@ CHROME_NAMES = frozenset(
     "notification pagination popup promo promoted related replies reply respond search share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Words that say that furniture is beside an element, and states of a whole page.
+MODIFIERS = frozenset("with without has no not is show hide layout".split())
+STATES = frozenset("open opened closed collapsed active enabled disabled visible hidden on off layout page template".split())
 ARTICLE_TAGS = frozenset(["article", "main"])
 ARTICLE_NAMES = frozenset("article content entry main post story".split())
 
@@ -162,21 +169,65 @@ def _tree() -> Node:
     return train(np.array(LABELLED, dtype=float))
 
 
+def names_furniture(name: str) -> bool:
+    """Whether one class, id or role names page furniture.
+
+    Furniture that a name only mentions does not count: after a modifier
+    (``layout-with-sidebar``), before a state (``menu-open``), or between the article and
+    another word (``content-sidebar-wrap``).
+    """
+    parts = [x.lower() for x in NAME_PART.findall(name)]
+    first = next((k for k, x in enumerate(parts) if x in CHROME_NAMES), None)
+    if first is None or MODIFIERS.intersection(parts[:first]) or parts[-1] in STATES:
+        return False
+    return parts[-1] in CHROME_NAMES or not ARTICLE_NAMES.intersection(parts[:first])
+
+
 def _surroundings(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element marks page furniture, and whether it marks an article."""
-    names: set[str] = set()
+    """Whether an element marks page furniture, and whether it marks an article.
+
+    An article is furniture only where a whole name says so, as for readers' comments
+    and teasers; the main element and the page itself never are.
+    """
+    names: list[str] = []
     if attributes:
         for match in NAMES.finditer(attributes):
-            names.update(x.lower() for x in NAME_PART.findall(next(filter(None, match.groups()), "")))
-    content = tag in ARTICLE_TAGS or bool(names & ARTICLE_NAMES)
-    return tag in CHROME_TAGS or bool(names & CHROME_NAMES) and tag not in ("body", "html"), content
+            names += next(filter(None, match.groups()), "").split()
+    parts = {x.lower() for name in names for x in NAME_PART.findall(name)}
+    content = tag in ARTICLE_TAGS or bool(parts & ARTICLE_NAMES)
+    if tag in ("body", "html", "main"):
+        return False, content
+    if tag == "article":
+        return any(x.lower() in CHROME_NAMES or x.lower().startswith("comment-") for x in names), content
+    return tag in CHROME_TAGS or any(map(names_furniture, names)), content
+
+
+class _Open:
+    """The open elements with their surroundings; an end tag without a start costs nothing."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, bool]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, tag: str, chrome: bool, article: bool):
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, chrome, article))
+
+    def close(self, tag: str):
+        """Close the innermost element of this name and all within it."""
+        if self.places.get(tag):
+            place = self.places[tag][-1]
+            while len(self.stack) > place:
+                self.places[self.stack.pop()[0]].pop()
 
 
 def blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
     """Text, link density, in_chrome, in_article, heading of each flat block in page order."""
     out: list[tuple] = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements and their surroundings
+    opened = _Open()
+    stack = opened.stack
+    ends: dict[str, re.Match | None] = {}  # the next end of each dropped element
     links = at = 0
     heading = False
 
@@ -211,17 +262,21 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
             elif tag in BLOCK_TAGS:
                 flush()
                 heading = False
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+                opened.close(tag)
             continue
         if tag in DROPPED_TAGS:
             if not attributes.endswith("/>"):
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                if tag == "head":  # a head may be left open: it ends where the body begins
-                    end = re.compile(r"</head\s*>|(?=<body\b)", re.I).search(page, at)
-                at = end.end() if end else at if tag == "head" else size
+                # a head may be left open: it ends where the body begins
+                pattern = r"</head\s*>|(?=<body\b)" if tag == "head" else rf"</{tag}\s*>"
+                if tag not in ends or ends[tag] and ends[tag].start() < at:
+                    ends[tag] = re.compile(pattern, re.I).search(page, at)
+                end = ends[tag]
+                if end and tag in FLAT_TAGS and re.compile(rf"<{tag}\b", re.I).search(page, at, end.start()):
+                    end = None  # the end belongs to the next one
+                if end:
+                    at = end.end()
+                elif tag in RAW_TAGS and tag != "head":
+                    at = size
                 add(" ")
         elif tag == "a":
             links += 1
@@ -234,11 +289,11 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
             if tag in VOID_TAGS or attributes.endswith("/>"):
                 continue
             if tag == "p" and stack and stack[-1][0] == "p":
-                stack.pop()  # a paragraph ends the one before it
+                opened.close("p")  # a paragraph ends the one before it
             chrome, article = _surroundings(tag, attributes)
-            if stack:
+            if stack and tag != "main":  # the main element lies in no furniture
                 chrome, article = chrome or stack[-1][1], article or stack[-1][2]
-            stack.append((tag, chrome, article))
+            opened.push(tag, chrome, article)
     flush()
     return out
 

@@ -188,6 +188,51 @@ def test_every_article_of_the_given_pages(spark, sf_dir):
         assert row["text"] == "\n".join(b for b in blocks if b)
 
 
+LONG = "The first paragraph of the article says a good deal about its subject and goes on for a while."
+MORE = "The second paragraph, no shorter than the first, adds what the first one left out on purpose."
+BODY = f"<p>{LONG}</p><p>{MORE}</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout-with-sidebar'>{BODY}</div>",
+        f"<article class='post has-comments'>{BODY}</article>",
+        f"<main id='search-article'>{BODY}</main>",
+        f"<div class='menu-open'><div class='content-sidebar-wrap'>{BODY}</div></div>",
+        f"<form class='search'><main>{BODY}</main></form>",
+        f"<p><button>{LONG}</p><p>{MORE}</p>",
+        f"<select><article>{BODY}</article><button>Go</button>",
+        f"<button>Menu<article>{BODY}</article><button>Go</button>",
+        f"<svg><article>{BODY}</article>",
+    ],
+)
+def test_the_article_survives(page):
+    kept = html_text.main_text(f"<html><body><nav><a href='/'>Home</a></nav>{page}</body></html>")
+    assert LONG in kept and MORE in kept and "Home" not in kept and "Go" not in kept.split()
+
+
+@pytest.mark.parametrize(
+    "element",
+    [
+        "div class='sidebar'", "div id='comments'", "section class='comment-list'", "div class='site-footer'",
+        "div class='ad-slot'", "ul class='nav'", "aside", "article class='comment'", "article class='comment-body'",
+        "div class='cookie-banner'", "div role='navigation'", "section class='related-posts'", "div class='post-comments'",
+    ],
+)
+def test_furniture_stays_out(element):
+    other = "A reader wrote this at some length, and it does not belong to the article at all, not a word."
+    page = f"<body><article>{BODY}</article><{element}><p>{other}</p></{element.split()[0]}></body>"
+    assert html_text.main_text(page) == f"{LONG}\n{MORE}"
+
+
+@pytest.mark.parametrize("unit", ["</p>", "<button>", "<svg>", "<div>", "<div></p>", "</div><p>", "<script>", "<iframe></b>"])
+def test_long_broken_pages_end(unit):
+    began = time.monotonic()
+    html_text.main_text("<div>" * 1000 + unit * 100_000 + BODY)
+    assert time.monotonic() - began < 20
+
+
 # --- secrets
 
 

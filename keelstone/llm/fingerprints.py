@@ -8,6 +8,11 @@ the longest common extension from two places follows by binary search.
 A fingerprint keeps the length, the value of the whole text and prefix values on a grid
 from the front and from the back. The step is the power of two that leaves at most
 ``CELLS`` cells, so the grids of two texts nest and cells of either can be compared.
+
+It also keeps spans that follow the content: a text is cut wherever the difference of
+two prefix values ``WINDOW`` apart meets a mask, so after an insertion or a deletion the
+cuts fall between the same words again. Of longer texts the spans whose hash is divisible
+by the smallest sufficient power of two are kept, so those of two texts nest as well.
 """
 
 from __future__ import annotations
@@ -23,6 +28,11 @@ from pyspark.sql import functions as F
 MODULI = (2147483647, 2147483629)
 BASES = (1117649, 1453487)
 CELLS = 32
+#: Code points that decide a cut, one place in so many, and the most spans kept.
+WINDOW = 6
+SPAN_BITS = 4
+SPANS = 128
+MIX = np.uint64(2654435761)
 #: Documents of one neighbourhood, and the most neighbourhoods. Tasks stream through
 #: them in order of ids, so larger ones cost time, not memory.
 BUCKET_ROWS = 4096
@@ -116,6 +126,23 @@ class Fingerprint:
         self.whole = tuple(int(text.prefixes(end, k)[0]) for k in range(len(MODULI)))
         self.front = self._cells(text, np.arange(0, whole + 1, self.step))
         self.back = self._cells(text, np.arange(self.size - whole, self.size + 1, self.step))[::-1]
+        self.share, self.spans, self.weights = self._spans(text)
+
+    def _spans(self, text) -> tuple[int, np.ndarray, np.ndarray]:
+        """The power of two sampled by, and values and code points of the distinct spans kept."""
+        modulus = np.uint64(MODULI[0])
+        inverse = powers(MODULI[0], pow(BASES[0], -1, MODULI[0]), self.size + 1)
+        values = text.prefixes(np.arange(self.size + 1))
+        window = (values[WINDOW:] + modulus - values[:-WINDOW]) % modulus * inverse[: max(0, self.size + 1 - WINDOW)] % modulus
+        cuts = np.flatnonzero(mixed(window) >> np.uint64(32 - SPAN_BITS) == 0) + WINDOW
+        places = np.unique(np.concatenate([[0], cuts, [self.size]]))
+        spans = (values[places[1:]] + modulus - values[places[:-1]]) % modulus * inverse[places[:-1]] % modulus
+        found, where = np.unique(spans, return_inverse=True)
+        weights = np.bincount(where, weights=np.diff(places), minlength=len(found)).astype(np.int64)
+        share = 1
+        while (kept := sampled(found, share)).sum() > SPANS:
+            share *= 2
+        return share, found[kept], weights[kept]
 
     @staticmethod
     def _cells(text, places: np.ndarray) -> np.ndarray:
@@ -126,7 +153,8 @@ class Fingerprint:
 
     def __str__(self) -> str:
         grids = (np.array(x).astype(">u4").tobytes().hex() for x in (self.whole, self.front, self.back))
-        return ".".join([f"{self.size:x}", *grids])
+        spans = np.stack([self.spans.astype(np.int64), self.weights], axis=1).astype(">u4").tobytes().hex()
+        return ".".join([f"{self.size:x}", *grids, f"{self.share:x}", spans])
 
     def grid(self, step: int, backwards: bool) -> np.ndarray:
         """Cell values at a multiple of the own step: those of joined cells."""
@@ -142,9 +170,30 @@ class Fingerprint:
         return joined.sum(axis=1) % modulus
 
 
+def mixed(values: np.ndarray) -> np.ndarray:
+    """32 bits of a value in which all of it tells."""
+    return values * MIX & np.uint64(0xFFFFFFFF)
+
+
+def sampled(values: np.ndarray, share: int) -> np.ndarray:
+    """Which values are kept when one in ``share`` is, a power of two."""
+    return (mixed(values ^ np.uint64(0x5BD1E995)) >> np.uint64(8)) & np.uint64(share - 1) == 0
+
+
+def span_likeness(one: Fingerprint, two: Fingerprint) -> float:
+    """Share of the code points in spans that both texts have, of the spans both would keep."""
+    share = max(one.share, two.share)
+    mine, theirs = sampled(one.spans, share), sampled(two.spans, share)
+    _, i, j = np.intersect1d(one.spans[mine], two.spans[theirs], assume_unique=True, return_indices=True)
+    weights, others = one.weights[mine], two.weights[theirs]
+    most = max(weights.sum(), others.sum())
+    return float(np.minimum(weights[i], others[j]).sum() / most) if most else 0.0
+
+
 def likeness(one: Fingerprint, two: Fingerprint) -> float:
-    """Share of the longer text in cells that both have at the same distance from the
-    front or from the back; 1 for equal texts, and only then. Symmetric."""
+    """Share of the longer text that both have: in cells at the same distance from the
+    front or from the back, or in spans wherever they stand, whichever is more. 1 for
+    equal texts, and only then. Symmetric."""
     if one.size == two.size and one.whole == two.whole:
         return 1.0
     longer, shorter = max(one.size, two.size), min(one.size, two.size)
@@ -160,7 +209,8 @@ def likeness(one: Fingerprint, two: Fingerprint) -> float:
     for start, end in sorted(spans):
         covered += max(0, end - max(start, reach))
         reach = max(reach, end)
-    return min(covered, longer - 1) / longer
+    shared = max(covered, longer * span_likeness(one, two))
+    return float(min(shared, longer - 1) / longer)
 
 
 SCHEMA = (

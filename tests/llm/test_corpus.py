@@ -75,6 +75,54 @@ def test_likeness():
     assert fingerprints.likeness(mark("ab"), mark("ac")) == 0.5
 
 
+def five_word_share(a, b):
+    """Jaccard similarity of five-word shingles."""
+    a, b = ({tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("n", [60, 300, 3000, 30_000])
+def test_likeness_follows_shared_text(n):
+    def mark(words):
+        return fingerprints.Fingerprint(fingerprints.PrefixHash(" ".join(words)))
+
+    rng = random.Random(n)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(n)]
+    edited = list(words)
+    for share in (0.9, 0.5, 0.1):  # three insertions
+        edited.insert(int(n * share), "inserted")
+    assert fingerprints.likeness(mark(words), mark(edited)) >= 0.8 * five_word_share(" ".join(words), " ".join(edited))
+    for every in (60, 40):  # an edit of any kind every so many words
+        edited = []
+        for k, w in enumerate(words):
+            kind = k % every == 7 and rng.choice("idr")
+            edited += {"i": [w, "more"], "d": [], "r": ["other"]}.get(kind, [w])
+        wanted = five_word_share(" ".join(words), " ".join(edited))
+        assert fingerprints.likeness(mark(words), mark(edited)) >= 0.8 * wanted
+    moved = words[n // 3 :] + words[: n // 3]
+    assert fingerprints.likeness(mark(words), mark(moved)) > 0.7
+    other = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(n)]
+    assert fingerprints.likeness(mark(words), mark(other)) < 0.1
+    # by brute force: all spans of both texts, cut by the same rule without prefix arrays
+    if n <= 300:
+        def spans(text):
+            m, b = fingerprints.MODULI[0], fingerprints.BASES[0]
+            def value(x):
+                return sum((ord(c) + 1) * pow(b, k, m) for k, c in enumerate(x)) % m
+            w, cuts = fingerprints.WINDOW, [0]
+            cuts += [k for k in range(w, len(text)) if value(text[k - w : k]) * 2654435761 % 2**32 >> 28 == 0]
+            return collections.Counter(value(text[a:z]) for a, z in zip(cuts, [*cuts[1:], len(text)], strict=True))
+        text = " ".join(words)
+        found, kept = spans(text), mark(words)
+        assert set(kept.spans.tolist()) <= set(found)
+        assert kept.share > 1 or set(kept.spans.tolist()) == set(found)
+
+
+def test_long_runs_of_one_letter():
+    one, two = (fingerprints.Fingerprint(fingerprints.PrefixHash("a" * n)) for n in (200_000, 200_001))
+    assert len(one.spans) <= fingerprints.SPANS and 0.9 < fingerprints.likeness(one, two) < 1
+
+
 @pytest.mark.parametrize("bucket_rows", [3, 100_000])
 def test_fingerprint_rows(monkeypatch, awkward, nothing, bucket_rows):
     monkeypatch.setattr(fingerprints, "BUCKET_ROWS", bucket_rows)

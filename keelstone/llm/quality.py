@@ -22,19 +22,23 @@ from pyspark.sql import functions as F
 from keelstone.llm.common import row_key, stored
 
 ORDER = 4
+HALF = ORDER // 2
 #: Characters of a group of documents, and of what is counted in one go.
 GROUP = 16_000_000
 CHUNK = 1_000_000
 #: Characters of the language's median that every document is given, so that a few
 #: characters alone decide nothing.
 PRIOR = 50.0
-#: One in so many trusted documents, by hash of the id, is kept out of the counts; the
-#: quantiles are theirs, since a model is at its best on the texts it has counted.
+#: One in so many trusted documents, by hash of the id, is kept out of the counts: a model
+#: is at its best on the texts it has counted, so the medians are the others'.
 HELD_OUT = 5
-#: A document is rejected above median + SPREAD * (QUANTILE - median) of its language's
-#: held-out trusted documents, all in nats a character.
-QUANTILE = 0.99
-SPREAD = 4.0
+#: A document is rejected above this quantile of its language's trusted documents, in nats
+#: a character. Where the counted ones are all below it, that is a quantile of
+#: 1 - HELD_OUT * (1 - QUANTILE) of those the model has not seen: at most one in 200 is lost.
+QUANTILE = 0.999
+#: Trusted documents from which on a language has a quantile of its own. Others take that
+#: of all trusted documents, each in units of its own language's median.
+ENOUGH = 1000
 
 PAD = 0xFFFF  # before the first character; a noncharacter, read as U+FFFD within texts
 N_BITS = 40  # of a trusted count beside the group's number
@@ -77,46 +81,74 @@ def _points(text: str | None) -> np.ndarray:
 
 
 class Alphabet:
-    """Numbers for the characters of a group, and codes for its n-grams."""
+    """Numbers for the characters of a group, and codes for its n-grams.
+
+    A code is a number with one digit for each character. Where the alphabet is so large
+    that this could pass 63 bits, it is made of the ranks of the n-gram's halves among
+    all halves in the group, which no group has enough of to pass them.
+    ``texts`` gives the texts anew whenever it is called.
+    """
 
     def __init__(self, texts):
         present = np.zeros(0x110000, dtype=bool)
         present[PAD] = True
-        for points in texts:
+        for points in texts():
             present[points] = True
         self.points = np.flatnonzero(present).astype("<u4")
         self.number = np.zeros(0x110000, dtype=np.int64)
         self.number[self.points] = np.arange(len(self.points))
+        self.halves = None
+        if len(self.points) ** ORDER >= 1 << 63:
+            found = np.empty(0, dtype=np.int64)
+            for chunk in _chunks((None, points) for points in texts()):
+                joined = self.number[self._padded([points for _, points in chunk])]
+                found = np.union1d(found, self._value([joined[:-1], joined[1:]]))
+            self.halves = found
+
+    def _padded(self, texts: list[np.ndarray]) -> np.ndarray:
+        pad = np.full(ORDER - 1, PAD, dtype="<u4")
+        return np.concatenate([x for text in texts for x in (pad, text)])
+
+    def _value(self, digits) -> np.ndarray:
+        value = np.zeros(len(digits[0]), dtype=np.int64)
+        for digit in digits:
+            value = value * len(self.points) + digit
+        return value
+
+    def _digits(self, values: np.ndarray, n: int) -> list[np.ndarray]:
+        digits = []
+        for _ in range(n):
+            values, digit = np.divmod(values, len(self.points))
+            digits.append(digit)
+        return digits[::-1]
+
+    def _code(self, digits) -> np.ndarray:
+        if self.halves is None:
+            return self._value(digits)
+        first, second = (np.searchsorted(self.halves, self._value(x)) for x in (digits[:HALF], digits[HALF:]))
+        return first * len(self.halves) + second
 
     def codes(self, texts: list[np.ndarray]) -> np.ndarray:
         """One code for each character of the texts: the n-gram that it ends."""
-        pad = np.full(ORDER - 1, PAD, dtype="<u4")
-        joined = self.number[np.concatenate([x for text in texts for x in (pad, text)])]
+        joined = self.number[self._padded(texts)]
         size = len(joined) - ORDER + 1
-        codes = np.zeros(size, dtype=np.int64)
-        for k in range(ORDER):
-            codes *= len(self.points)
-            codes += joined[k : k + size]
+        codes = self._code([joined[k : k + size] for k in range(ORDER)])
         lengths = [len(t) for t in texts]
-        ends = np.repeat(np.cumsum([ORDER - 1, *(n + ORDER - 1 for n in lengths[:-1])]) , lengths)
+        ends = np.repeat(np.cumsum([ORDER - 1, *(n + ORDER - 1 for n in lengths[:-1])]), lengths)
         places = ends + np.arange(sum(lengths)) - np.repeat(np.cumsum([0, *lengths[:-1]]), lengths)
         return codes[places - ORDER + 1]
 
     def strings(self, codes: np.ndarray) -> list[str]:
-        digits = np.empty((len(codes), ORDER), dtype="<u4")
-        rest = codes.copy()
-        for k in range(ORDER - 1, -1, -1):
-            rest, digit = np.divmod(rest, len(self.points))
-            digits[:, k] = self.points[digit]
-        text = digits.tobytes().decode("utf-32-le", "surrogatepass")
+        if self.halves is None:
+            digits = self._digits(codes, ORDER)
+        else:
+            digits = [x for half in np.divmod(codes, len(self.halves)) for x in self._digits(self.halves[half], HALF)]
+        text = self.points[np.stack(digits, axis=1)].tobytes().decode("utf-32-le", "surrogatepass")
         return [text[k : k + ORDER] for k in range(0, len(text), ORDER)]
 
     def of_strings(self, ngrams) -> np.ndarray:
         points = np.frombuffer("".join(ngrams).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        codes = np.zeros(len(points) // ORDER, dtype=np.int64)
-        for k in range(ORDER):
-            codes = codes * len(self.points) + self.number[points[k::ORDER]]
-        return codes
+        return self._code([self.number[points[k::ORDER]] for k in range(ORDER)])
 
 
 def _chunks(items):
@@ -143,7 +175,7 @@ def _documents(blocks):
 def _counted(key, blocks: pa.Table, trusted: pa.Table) -> pa.Table:
     """Distinct n-grams of a group and how often they occur in its trusted documents."""
     known = set(trusted.column("doc_id").to_pylist())
-    alphabet = Alphabet(points for _, points in _documents(blocks))
+    alphabet = Alphabet(lambda: (points for _, points in _documents(blocks)))
     seen, held, counts = [np.empty(0, dtype=np.int64)], [], []
     for chunk in _chunks(_documents(blocks)):
         seen.append(np.unique(alphabet.codes([points for _, points in chunk])))
@@ -162,7 +194,7 @@ def _counted(key, blocks: pa.Table, trusted: pa.Table) -> pa.Table:
 
 def _scored(_key, blocks: pa.Table, answers: pa.Table) -> pa.Table:
     """Nats and characters of every document of a group."""
-    alphabet = Alphabet(points for _, points in _documents(blocks))
+    alphabet = Alphabet(lambda: (points for _, points in _documents(blocks)))
     codes = alphabet.of_strings(answers.column("ngram").to_pylist())
     order = np.argsort(codes)
     codes, nats = codes[order], -answers.column("logp").to_numpy().astype(np.float64)[order]
@@ -324,33 +356,33 @@ def score(
 
 def judge(scores: DataFrame, trusted: DataFrame) -> DataFrame:
     """Perplexity, threshold and decision for every row of ``score``."""
-    trusted = trusted.where(held_out())
-    good = scores.join(trusted, "doc_id", "left_semi").where("size > 0")
-    language = F.col("lang").alias("l")
-
-    def by_language(df, value):
-        """Rows of ``df`` with a value of their language, or else of all held-out documents."""
-        known = stored(value[0].groupBy(language).agg(value[1].alias("own")), "languages")
-        everywhere = value[0].agg(value[1]).first()[0]
-        return df.join(known, F.col("lang").eqNullSafe(F.col("l")), "left").withColumn(
-            "own", F.coalesce("own", F.lit(everywhere).cast("double"))
-        )
 
-    middle = F.percentile_approx(F.col("nats") / F.col("size"), 0.5, 10_000)
-    rate = (F.col("nats") + PRIOR * F.coalesce("own", F.lit(0.0))) / (F.col("size") + PRIOR)
-    rates = stored(by_language(scores, (good, middle)).select(*scores.columns, rate.alias("rate")), "rates")
+    def by_language(df, good, name, value):
+        """Rows of ``df`` with a value of their language's ``good`` rows and that of all."""
+        known = good.groupBy(F.col("lang").alias("l")).agg(F.count("*").alias("n_trusted"), value.alias(name))
+        known = stored(known, "languages")
+        everywhere = F.lit(good.agg(value).first()[0]).cast(known.schema[name].dataType)
+        return df.join(known, F.col("lang").eqNullSafe(F.col("l")), "left").withColumn(f"all_{name}", everywhere)
+
+    good = scores.join(trusted.where(held_out()), "doc_id", "left_semi").where("size > 0")
+    median = F.percentile_approx(F.col("nats") / F.col("size"), 0.5, 10_000)
+    middle = F.coalesce("median", "all_median")
+    rate = (F.col("nats") + PRIOR * F.coalesce("middle", F.lit(0.0))) / (F.col("size") + PRIOR)
+    rates = by_language(scores, good, "median", median).withColumn("middle", middle)
+    rates = stored(rates.select(*scores.columns, "middle", rate.alias("rate")), "rates")
 
     good = rates.join(trusted, "doc_id", "left_semi").where("size > 0")
-    bounds = F.percentile_approx("rate", [0.5, QUANTILE], 10_000)
-    limit = bounds[0] + SPREAD * (bounds[1] - bounds[0])
-    return by_language(rates, (good, limit)).select(
+    good = good.withColumn("part", F.try_divide("rate", "middle"))
+    bound = F.percentile_approx("part", QUANTILE, 10_000)
+    limit = F.col("middle") * F.when(F.col("n_trusted") >= ENOUGH, F.col("bound")).otherwise(F.col("all_bound"))
+    return by_language(rates, good, "bound", bound).select(
         "doc_id",
         "key",
         "lang",
         F.col("size").alias("n_scored"),
         F.exp("rate").alias("perplexity"),
-        F.exp("own").alias("threshold"),
-        F.coalesce((F.col("rate") <= F.col("own")) | (F.col("size") == 0), F.lit(True)).alias("kept"),
+        F.exp(limit).alias("threshold"),
+        F.coalesce((F.col("rate") <= limit) | (F.col("size") == 0), F.lit(True)).alias("kept"),
     )
 
 
@@ -364,7 +396,7 @@ def classify(
     """One row per row: perplexity, its language's threshold, and whether it is kept.
 
     Null and empty texts have no characters and are kept: nothing speaks against them.
-    A language without trusted documents, null included, uses the threshold of all
+    A language with few trusted documents, null included, uses the quantile of all
     trusted documents; without any trusted document everything is kept. Repeated rows
     are scored each, rows that repeat an id are trusted together. Other columns are not
     read. Ids are expected to be mostly distinct: rows of one id meet in one group.

@@ -299,6 +299,55 @@ def test_model_against_its_definition(monkeypatch, spark, sf_dir, group):
     assert total == pytest.approx(1)
 
 
+def test_more_characters_than_a_plain_code_can_hold(spark):
+    rng = random.Random(3)
+    letters = [chr(k) for k in range(0x20, 0x10000) if not 0xD800 <= k < 0xE000 and k != quality.PAD][:60_000]
+    assert (len(letters) + 1) ** quality.ORDER > 1 << 63
+    texts = ["".join(rng.sample(letters, len(letters)))]
+    texts += [" ".join(rng.choice(["the", "one", "two", "é", letters[-k]]) for _ in range(200)) for k in range(1, 12)]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    trusted = docs.select("doc_id")
+    counted = {r["doc_id"] for r in trusted.where(~quality.held_out()).collect()}
+    assert 0 < len(counted) < len(texts)
+    probability, _ = plain_model([t for k, t in enumerate(texts) if k in counted], quality.ORDER)
+    pad = chr(quality.PAD) * (quality.ORDER - 1)
+    for row in quality.score(docs, trusted).collect():
+        text = texts[row["doc_id"]]
+        nats = -sum(math.log(probability((pad + text)[i : i + quality.ORDER])) for i in range(len(text)))
+        assert row["nats"] == pytest.approx(nats, rel=1e-6)
+
+
+def test_threshold_is_a_quantile(monkeypatch, spark):
+    monkeypatch.setattr(quality, "QUANTILE", 0.9)
+    monkeypatch.setattr(quality, "ENOUGH", 60)
+    rng = random.Random(4)
+    rows = [(k, str(k), ["a", "b", None, "none"][k % 4 if k % 40 < 4 else 0], rng.uniform(50, 300), rng.randint(60, 130)) for k in range(2000)]
+    rows += [(5000, "x", "b", 0.0, 0), (None, "y", "a", 99.0, 70)]
+    scores = spark.createDataFrame(rows, "doc_id long, key string, lang string, nats double, size long")
+    trusted = spark.createDataFrame([(k,) for k in range(2000) if k % 40 < 39 and k % 4 != 3], "doc_id long")
+    known = {r["doc_id"] for r in trusted.collect()}
+    held = {r["doc_id"] for r in trusted.where(quality.held_out()).collect()}
+
+    def quantile(values, q):
+        return sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+
+    good = [r for r in rows if r[0] in held and r[4]]
+    middles = collections.defaultdict(lambda: quantile([r[3] / r[4] for r in good], 0.5))
+    for lang in {r[2] for r in good}:
+        middles[lang] = quantile([r[3] / r[4] for r in good if r[2] == lang], 0.5)
+    rate = {r[1]: (r[3] + quality.PRIOR * middles[r[2]]) / (r[4] + quality.PRIOR) for r in rows}
+    parts = collections.defaultdict(list)
+    for r in (r for r in rows if r[0] in known and r[4]):
+        parts[r[2]].append(rate[r[1]] / middles[r[2]])
+    pooled = [x for v in parts.values() for x in v]
+    assert len(parts["a"]) >= 60 > len(parts["b"]) > 0 and not parts["none"]
+    for got in quality.judge(scores, trusted).collect():
+        own = parts[got["lang"]] if len(parts[got["lang"]]) >= 60 else pooled
+        limit = middles[got["lang"]] * quantile(own, 0.9)
+        assert got["threshold"] == pytest.approx(math.exp(limit))
+        assert got["kept"] == (rate[got["key"]] <= limit * (1 + 1e-12) or got["n_scored"] == 0)
+
+
 def test_quality_on_labelled_rows(spark):
     sf_dir = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))

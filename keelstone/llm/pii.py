@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+import string
 
 import ahocorasick
 import pyarrow as pa
@@ -32,8 +33,9 @@ IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ACCOUNT = re.compile(r"(?:\x20(?:number|no\.?|nr\.?))?\x20?[:#=]\x20?([A-Za-z0-9][A-Za-z0-9._-]{3,33}[A-Za-z0-9])")
-USER_INFO = re.compile(r"[^\s/@:\"'<>]{1,64}:[^\s/@\"'<>]{1,64}@")
+USER_INFO = re.compile(r"[^\s/@:\"'<>]++:[^\s/@\"'<>]++@")
 NUMBER_BEFORE = re.compile(r"[0-9]{1,5}[A-Za-z]?\x20(?:[A-Z][\w.'-]{0,30}\x20){1,4}\Z")
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 NUMBER_AFTER = re.compile(r"\x20[0-9]{1,4}[A-Za-z]?\b")
 
 
@@ -47,8 +49,7 @@ def _automaton():
     found.add_word("://", ("scheme", 3))
     for kind, cues in (("account", ACCOUNT_CUES), ("street", STREET_CUES)):
         for cue in cues:
-            for form in {cue, cue.capitalize(), cue.upper() if cue.isascii() else cue}:
-                found.add_word(form, (kind, len(form)))
+            found.add_word(cue, (kind, len(cue)))
     found.make_automaton()
     return found
 
@@ -85,7 +86,8 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
             found.append((kind, start, end))
         free[kind] = end
 
-    for last, (anchor, length) in _automaton().iter(text):
+    # cues in any spelling; only A-Z change, so places stay
+    for last, (anchor, length) in _automaton().iter(text.translate(LOWER)):
         at = last - length + 1
         if anchor == "digit":
             if at >= free["card"] and (m := CARD.match(text, at)):
@@ -107,7 +109,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
             if at >= free["phone"] and (m := PHONE.match(text, at)):
                 put("phone", at, m.end(), 10 <= sum(c.isdigit() for c in m.group()) <= 15)
         elif anchor == "scheme":
-            if m := USER_INFO.match(text, last + 1):
+            if last >= free["account"] and (m := USER_INFO.match(text, last + 1)):
                 put("account", last + 1, m.end() - 1)
         elif anchor == "account":
             bounded = not at or not text[at - 1].isalnum()

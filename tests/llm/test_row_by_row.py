@@ -61,6 +61,17 @@ def test_further_kinds_and_clean_text():
     assert pii.spans("the account of the street was on the road to user friendly ids") == []
 
 
+def test_cues_in_any_spelling():
+    text = "User ID: ab1234 Customer No: 12345 uSeRnAmE = x.y9z; 12 Main STREET, bAHNHOFsTRAße 4 Bahnhofstrasse 5"
+    values = [text[a:b] for _, a, b in pii.spans(text)]
+    assert values == ["ab1234", "12345", "x.y9z", "12 Main STREET", "Bahnhofstrasse 5"]
+    for name in ("joe", "j" * 5000):
+        url = f"http://{name}:{'p' * 70}@host/"
+        assert pii.clean(url) == "http://<ACCOUNT>@host/"
+    assert pii.spans("http://host:80/a b://c:d e://" + "f" * 100_000) == []
+    assert len(pii.spans("x://a:b@" * 20_000)) == 20_000
+
+
 def test_redaction_merges_what_overlaps():
     text = "mail a.b@c.de now, 10.0.0.1!"
     assert pii.redact(text, pii.spans(text)) == "mail <EMAIL> now, <IP>!"

@@ -20,10 +20,10 @@ from keelstone.catalog.checks import DAYS_SQL
 from keelstone.catalog.sqlparts import sql
 from keelstone.catalog.standardise import FX_HISTORY_SQL, fx_history
 from keelstone.operators import aggregates as agg, reconcile as rc, states
-from keelstone.sinks import layout, tables, writers
+from keelstone.sinks import compaction, layout, tables, writers, zones
 from keelstone.sinks.scratch import new_path
 from keelstone.sinks.states import KpiStates
-from keelstone.sources import readers, reference, testviews as tv
+from keelstone.sources import footers, readers, reference, testviews as tv
 from keelstone.sources.reference import literal_table
 
 book = Book()
@@ -291,6 +291,70 @@ def cluster_layout(spark, d):
     )
 
 
+@book.query(
+    "snk_cluster_skipping",
+    sql(
+        """SELECT loan_id, geography, round(risk_weighted_assets, 2) AS risk_weighted_assets FROM fact
+        WHERE geography BETWEEN 'A' AND 'F' AND risk_weighted_assets >= 1e5""",
+        "fact",
+    ),
+)
+def cluster_skipping(spark, d):
+    """Loans in a range of two columns, from the files of a clustered copy whose zones meet it."""
+    stored, path, known = (new_path(spark, n) for n in ("rwa_detail", "clustered", "zones"))
+    columns = ["geography", "risk_weighted_assets"]
+    writers.write_table(tv.fact(spark, d).select("loan_id", *columns), stored)
+    layout.cluster(spark.read.parquet(stored), columns, files=16).write.parquet(path)
+    zones.write_zone_map(spark, path, columns, known)
+    ranges = {"geography": ("A", "F"), "risk_weighted_assets": (1e5, None)}
+    return rounded(zones.read_ranges(spark, path, known, ranges), {"risk_weighted_assets": 2})
+
+
+@book.query(
+    "snk_compact_small",
+    sql(
+        "SELECT calculation_date, asset_class, count(*) AS loan_count, count(DISTINCT loan_id) AS loans "
+        "FROM fact_month GROUP BY 1, 2",
+        "fact_month",
+    ),
+)
+def compact_small(spark, d):
+    """A date whose classes lie in many small files beside larger ones, after they were merged."""
+    path, by = new_path(spark, "scattered"), ["calculation_date", "asset_class"]
+    fact = tv.fact(spark, d, "month").select(*by, "loan_id")
+    fact.repartition(8, "loan_id").write.partitionBy(*by).parquet(path)
+    for _ in range(2):  # the second call has nothing left to merge
+        compaction.compact_small(spark, path, LAST, by=by[1:])
+    return readers.read_fact(spark, path).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("loan_count"), F.countDistinct("loan_id").alias("loans")
+    )
+
+
+@book.query(
+    "dq_schema_drift",
+    sql(
+        """SELECT DISTINCT CAST(date_trunc('month', origination_date) AS DATE) AS date,
+          CASE month(origination_date) WHEN 2 THEN 'product_type' ELSE 'outstanding_balance' END AS item,
+          CASE month(origination_date) WHEN 2 THEN 'missing' ELSE 'type' END AS problem
+        FROM loans_plain
+        WHERE month(origination_date) = 2 OR date_trunc('month', origination_date) = DATE '1998-10-01'""",
+        "loans_plain",
+    ),
+)
+def schema_drift(spark, d):
+    """Months of a loan table whose files lack a column or hold another type than most files do."""
+    path = new_path(spark, "loans")
+    loans = monthly_loans(spark, d)
+    short, odd = F.month("date") == 2, F.col("date") == F.lit(MONTH)
+    writers.write_partitioned(loans.where(~short & ~odd), path, ["date"])
+    writers.write_partitioned(loans.where(short).drop("product_type"), path, ["date"], mode="append")
+    text = F.col("outstanding_balance").cast("string")
+    writers.write_partitioned(loans.where(odd).withColumn("outstanding_balance", text), path, ["date"], mode="append")
+    found = footers.schema_drift(footers.file_schemas(spark, path))
+    day = F.to_date(F.regexp_extract("file", "date=([0-9-]+)", 1))
+    return found.select(day.alias("date"), "item", "problem").distinct()
+
+
 @book.query("snk_compact", sql(f"SELECT {SUMMARY_SELECT} FROM summary_month", "summary_month"))
 def compact(spark, d):
     path = new_path(spark, "scattered")

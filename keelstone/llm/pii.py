@@ -10,7 +10,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-import string
 
 import ahocorasick
 import pyarrow as pa
@@ -35,7 +34,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ACCOUNT = re.compile(r"(?:\x20(?:number|no\.?|nr\.?))?\x20?[:#=]\x20?([A-Za-z0-9][A-Za-z0-9._-]{3,33}[A-Za-z0-9])")
 USER_INFO = re.compile(r"[^\s/@:\"'<>]++:[^\s/@\"'<>]++@")
 NUMBER_BEFORE = re.compile(r"[0-9]{1,5}[A-Za-z]?\x20(?:[A-Z][\w.'-]{0,30}\x20){1,4}\Z")
-LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+CAPITALS = re.compile(r"[A-Z]+")
 NUMBER_AFTER = re.compile(r"\x20[0-9]{1,4}[A-Za-z]?\b")
 
 
@@ -87,7 +86,8 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
         free[kind] = end
 
     # cues in any spelling; only A-Z change, so places stay
-    for last, (anchor, length) in _automaton().iter(text.translate(LOWER)):
+    lowered = text.lower() if text.isascii() else CAPITALS.sub(lambda m: m.group().lower(), text)
+    for last, (anchor, length) in _automaton().iter(lowered):
         at = last - length + 1
         if anchor == "digit":
             if at >= free["card"] and (m := CARD.match(text, at)):

@@ -7,7 +7,10 @@ task can tell because the forest is small and known everywhere, so no pair has t
 sent anywhere: a leaf gives back, for each vector, how many it links with and one
 vector it is connected with.
 
-The forest is fitted on a bounded sample; every vector is indexed and compared.
+The forest is fitted on a bounded sample; every vector is indexed and compared. Where the
+sample is too thin for further medians, a node is split on by what it had last, so the depth
+follows the table and leaves stay near one block, while the forest grows with the logarithm
+of the rows only.
 """
 
 from __future__ import annotations
@@ -21,18 +24,31 @@ from keelstone.llm.common import components, stored
 
 MIN_COSINE = 0.95
 TREES = 8
-#: Distinct vectors a leaf should hold, rows of the sample and rows of it below which a
-#: node is not split, so a tree has at most SAMPLE / LEAF_SAMPLE leaves.
+#: Distinct vectors a leaf should hold without spill, rows of the sample, and rows of it that
+#: both halves of a node must have for a median of its own, so that a tree has about
+#: SAMPLE / LEAF_SAMPLE nodes with rows of the sample.
 LEAF = 256
 SAMPLE = 32_768
-LEAF_SAMPLE = 8
+LEAF_SAMPLE = 32
 #: Spill to each side of a split, in standard deviations of the projected difference of
 #: two vectors at the smallest cosine. A node where more than half would go to both
 #: sides stays a leaf.
 SPILL = 0.5
+#: Share of its rows of the sample from which on a split at the median gives way to one at a
+#: sparser place, and up to which a level below the sampled nodes splits at all.
+SHARED = 0.25
+#: Spill below the sampled nodes, and levels there beyond the needed ones, for directions that
+#: do not split.
+DEEP_SPILL = 0.25
+SPARE = 8
+#: Splits below a node, so that the path fits a leaf's number: enough for 10^12 vectors.
+DEEPEST = 27
 #: Vectors of a leaf that are compared in one go; larger leaves are cut into blocks and
 #: every pair of blocks is compared.
 BLOCK = 1024
+#: Leaves cut into blocks that every task may know by name; if more are above a block, only
+#: the largest are cut and the others are compared block by block in one task.
+NAMED = 100_000
 SEED = 10
 
 
@@ -43,46 +59,99 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 class Forest:
-    """Trees over vectors of one length. ``bounds[t][level]`` holds the medians of the
-    nodes of a level, NaN where a node is a leaf."""
+    """Trees over vectors of one length.
+
+    ``bounds[t][level]`` holds the medians of the nodes of a level that have enough rows of
+    the sample, NaN for others. ``deep[t][k]`` holds the bounds of all levels below node
+    ``names[t][k]``, the last with rows of its own; NaN where a level does not split it.
+    """
 
     def __init__(self, sample: np.ndarray, rows: int, number: int):
         self.number = number
         self.length = sample.shape[1]
-        depth = max(0, int(np.ceil(np.log2(max(1, rows) / LEAF))))
-        self.depth = min(depth, int(np.log2(max(1, len(sample) / LEAF_SAMPLE))))
+        wanted = max(0, int(np.ceil(np.log2(max(1, rows) / LEAF))))
+        self.depth = min(wanted, int(np.log2(max(1, len(sample) / LEAF_SAMPLE))))
+        # spill adds rows: a level leaves at most 0.65 of them where shares are as expected
+        weight = rows / len(sample)
+        self.levels = max(0, int(np.ceil(np.log2(max(1, rows) / BLOCK) / 0.6))) + SPARE
         rng = np.random.default_rng((SEED, self.length))
-        shape = (TREES, max(1, self.depth), self.length)
-        self.directions = rng.standard_normal(shape)
-        self.directions /= np.linalg.norm(self.directions, axis=2, keepdims=True)
+        self.directions = self._directions(rng, max(1, self.depth))
+        self.beyond = self._directions(rng, self.levels)
         self.margin = SPILL * np.sqrt((2 - 2 * MIN_COSINE) / self.length)
+        self.deep_margin = self.margin * DEEP_SPILL / SPILL
         self.bounds = [[] for _ in range(TREES)]
+        self.names, self.deep = [], []
         units = unit(sample)
         for tree in range(TREES):
             at = np.arange(len(units))
             node = np.zeros(len(units), dtype=np.int64)
+            ended: list = []
             for level in range(self.depth):
                 values = units[at] @ self.directions[tree, level]
                 bound = np.full(1 << level, np.nan)
-                order = np.argsort(node, kind="stable")
-                cuts = np.searchsorted(node[order], np.arange((1 << level) + 1))
-                for k, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    own = values[order[low:high]]
-                    if high - low >= 2 * LEAF_SAMPLE:
-                        median = np.median(own)
-                        if (np.abs(own - median) < self.margin).mean() <= 0.5:
-                            bound[k] = median
+                for k, own in _groups(node):
+                    if len(own) >= 2 * LEAF_SAMPLE:
+                        place, shared = _cut(values[own], self.margin)
+                        if shared <= 0.5:
+                            bound[k] = place
                 self.bounds[tree].append(bound)
-                at, node = self._step(at, node, values, bound)
-
-    def _step(self, at, node, values, bound, ended=None):
-        own = bound[node]
+                at, node = self._step(at, node, values, bound[node], self.margin, ended, level)
+            ended.append((at, node + (np.int64(1) << self.depth)))
+            at, node = (np.concatenate(x) for x in zip(*ended, strict=True))
+            names, bounds = [], []
+            for name, own in _groups(node):
+                if len(own) * weight > BLOCK:
+                    names.append(name)
+                    bounds.append(self._below(units[at[own]], len(own) * weight, tree))
+            self.names.append(np.array(names, dtype=np.int64))
+            self.deep.append(np.array(bounds).reshape(len(names), self.levels))
+
+    def _directions(self, rng, levels: int) -> np.ndarray:
+        found = rng.standard_normal((TREES, levels, self.length))
+        return found / np.linalg.norm(found, axis=2, keepdims=True)
+
+    def _below(self, own: np.ndarray, rows: float, tree: int) -> np.ndarray:
+        """Bounds of the levels below a node, until about half a block of the table is left."""
+        own = own[:: -(-len(own) // 256)]
+        bounds = np.full(self.levels, np.nan)
+        for level in range(self.levels):
+            if rows <= BLOCK / 2 or len(own) < 4 or (~np.isnan(bounds)).sum() == DEEPEST:
+                break
+            place, shared = _cut(own @ self.beyond[tree, level], self.deep_margin)
+            if shared <= SHARED:
+                bounds[level] = place
+                rows *= (1 + shared) / 2
+        return bounds
+
+    @staticmethod
+    def _step(at, node, values, own, margin, ended, level):
+        """Rows and nodes of the next level; rows whose node is not split end in it. A node is
+        named by its place among all nodes down to its level."""
         leaf = np.isnan(own)
-        if ended is not None:
-            ended.append((at[leaf], node[leaf], np.full(leaf.sum(), int(np.log2(len(bound))))))
-        left, right = values <= own + self.margin, values > own - self.margin
+        ended.append((at[leaf], node[leaf] + (np.int64(1) << level)))
+        left, right = values <= own + margin, values > own - margin
         return np.concatenate([at[left], at[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
 
+    def _deeper(self, vectors, tree, at, name):
+        """Leaves below nodes that have rows of the sample; others are leaves."""
+        place = np.searchsorted(self.names[tree], name)
+        inside = place < len(self.names[tree])
+        inside[inside] = self.names[tree][place[inside]] == name[inside]
+        rows, leaves = [at[~inside]], [name[~inside]]
+        at, place, path = at[inside], place[inside], np.ones(inside.sum(), dtype=np.int64)
+        for level in range(self.levels if len(at) else 0):
+            own = self.deep[tree][place, level]
+            cut = ~np.isnan(own)
+            values = np.full(len(at), np.nan)
+            values[cut] = vectors[at[cut]] @ self.beyond[tree, level]
+            left, right = ~cut | (values <= own + self.deep_margin), cut & (values > own - self.deep_margin)
+            # a one in front keeps paths of different lengths apart
+            path = np.concatenate([np.where(cut, 2 * path, path)[left], 2 * path[right] + 1])
+            at, place = np.concatenate([at[left], at[right]]), np.concatenate([place[left], place[right]])
+        rows.append(at)
+        leaves.append((path << 12) + self.names[tree][place] if len(at) else path)
+        return np.concatenate(rows), np.concatenate(leaves)
+
     def leaves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and leaf numbers of all leaves of unit vectors, over all trees."""
         rows, leaves = [], []
@@ -91,15 +160,36 @@ class Forest:
             ended: list = []
             for level in range(self.depth):
                 values = vectors[at] @ self.directions[tree, level]
-                at, node = self._step(at, node, values, self.bounds[tree][level], ended)
-            ended.append((at, node, np.full(len(at), self.depth)))
-            for where, name, level in ended:
-                rows.append(where)
-                # a node is named by its place among all nodes down to its level
-                leaves.append((np.int64(self.number * TREES + tree) << 32) + (np.int64(1) << level) + name)
+                at, node = self._step(at, node, values, self.bounds[tree][level][node], self.margin, ended, level)
+            ended.append((at, node + (np.int64(1) << self.depth)))
+            at, name = self._deeper(vectors, tree, *(np.concatenate(x) for x in zip(*ended, strict=True)))
+            rows.append(at)
+            leaves.append((np.int64(self.number * TREES + tree) << 40) + name)
         return np.concatenate(rows), np.concatenate(leaves)
 
 
+def _groups(names: np.ndarray):
+    """Each name with the places where it stands."""
+    order = np.argsort(names, kind="stable")
+    found, starts = np.unique(names[order], return_index=True)
+    for name, start, end in zip(found.tolist(), starts, np.r_[starts[1:], len(order)], strict=True):
+        yield name, order[start:end]
+
+
+def _cut(values: np.ndarray, margin: float) -> tuple[float, float]:
+    """Where to split values, and the share of them within the margin: at the median, or
+    where it is crowded (a dense group) at the sparsest of 64 places in the middle half."""
+    median = np.median(values)
+    shared = (np.abs(values - median) < margin).mean()
+    if shared <= SHARED:
+        return median, shared
+    places = np.quantile(values, np.linspace(0.25, 0.75, 64))
+    ordered = np.sort(values)
+    crowds = np.searchsorted(ordered, places + margin) - np.searchsorted(ordered, places - margin, "right")
+    best = int(np.argmin(crowds))
+    return places[best], crowds[best] / len(values)
+
+
 def _matrix(column) -> np.ndarray:
     """Arrow lists of one length as a matrix of doubles."""
     values = column.flatten().to_numpy(zero_copy_only=False)
@@ -218,15 +308,19 @@ def _linked(classes: DataFrame, forests: dict[int, Forest]) -> DataFrame:
                 names, counts = np.unique(forests[length].leaves(units)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(counts)], names=["leaf", "n"])
 
-    # leaves that need blocks: at most as many as the bounded forest has
-    large = {
-        x["leaf"]: -(-x["n"] // BLOCK)
-        for x in classes.mapInArrow(leaves_only, "leaf long, n long")
+    counts = stored(
+        classes.mapInArrow(leaves_only, "leaf long, n long")
         .groupBy("leaf")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") > BLOCK)
-        .collect()
-    }
+        .where(F.col("n") > BLOCK),
+        "leaves",
+    )
+    # at most NAMED leaves are cut: those above the smallest power of two that leaves so few
+    sizes = {x["size"]: x["count"] for x in counts.groupBy(F.expr("bigint(log2(n - 1))").alias("size")).count().collect()}
+    least = BLOCK
+    while sum(n for size, n in sizes.items() if 1 << size >= least) > NAMED:
+        least *= 2
+    large = {x["leaf"]: -(-x["n"] // BLOCK) for x in counts.where(F.col("n") > least).collect()}
 
     def placed(batches):
         names = ["leaf", "first", "second", "block", "node", "copies", "vector"]
@@ -256,16 +350,22 @@ def _linked(classes: DataFrame, forests: dict[int, Forest]) -> DataFrame:
     def compared(batches):
         def result(run):
             leaf, first, second = (run.column(k)[0].as_py() for k in range(3))
+            parts = -(-run.num_rows // BLOCK)
+            if first != second or parts <= 2:  # the blocks are rows of two tasks' making
+                yield linked(run, leaf, run.column("block").to_numpy(zero_copy_only=False), first, second)
+                return
+            for one in range(parts):  # a leaf too large for one matrix and too small to be cut
+                here = run.slice(one * BLOCK, BLOCK)
+                yield linked(here, leaf, np.zeros(here.num_rows), 0, 0)
+                for other in range(one + 1, parts):
+                    there = run.slice(other * BLOCK, BLOCK)
+                    both = pa.Table.from_batches([here, there]).combine_chunks().to_batches()[0]
+                    yield linked(both, leaf, np.arange(both.num_rows) >= here.num_rows, 0, 1)
+
+        def linked(run, leaf, blocks, first, second):
             vectors, nodes = _matrix(run.column("vector")), run.column("node").to_numpy(zero_copy_only=False)
-            links, labels = compare(
-                forests[vectors.shape[1]],
-                leaf,
-                vectors,
-                run.column("copies").to_numpy(zero_copy_only=False),
-                run.column("block").to_numpy(zero_copy_only=False),
-                first,
-                second,
-            )
+            copies = run.column("copies").to_numpy(zero_copy_only=False)
+            links, labels = compare(forests[vectors.shape[1]], leaf, vectors, copies, blocks, first, second)
             some = np.flatnonzero(links)
             return pa.RecordBatch.from_arrays(
                 [pa.array(nodes[some]), pa.array(nodes[labels[some]]), pa.array(links[some])],
@@ -279,12 +379,12 @@ def _linked(classes: DataFrame, forests: dict[int, Forest]) -> DataFrame:
             starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
             for start, end in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
                 if (key := tuple(keys[:, start])) != name and held:
-                    yield result(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                    yield from result(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
                     held = []
                 name = key
                 held.append(batch.slice(start, end - start))
         if held:
-            yield result(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            yield from result(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
     kind = classes.schema["vector"].dataType.simpleString()
     return (

@@ -20,7 +20,7 @@ WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 MARK = re.compile(r"\[\[|\]\]|\{\{\d+\}\}|[^\[\]{}]+")
 
 # Phrases and published licence wording. [[...]] is optional, {{n}}
-# stands for up to n replaced words.
+# stands for up to n replaced words; no template ends in replaced words.
 PHRASES = {
     "under the mit license": "mit",
     "apache license version 2": "apache-2",
@@ -50,6 +50,21 @@ copyright notice, this list of conditions and the following disclaimer. [[2.]] R
 form must reproduce the above copyright notice, this list of conditions and the following disclaimer in
 the documentation and/or other materials provided with the distribution.
 """
+VERSION = "[[, version [[1]][[2]][[2.1]][[3]][[.0]]]] [[only]] [[or later]] [[or (at your option) any later version]]"
+
+
+def _gnu_header(name: str) -> str:
+    """The notice at the head of a file; what follows the grant may be left out."""
+    return f"""
+        free software[[:]] you can redistribute it and/or modify it under the terms of the GNU {name} as
+        published by the Free Software Foundation[[,]] either version {{{{2}}}} of the License, or (at your
+        option) any later version. [[{{{{4}}}} is distributed in the hope that it will be useful, but WITHOUT ANY
+        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+        See the GNU {name} for more details. [[You should have received a copy of the GNU {name} along with
+        {{{{4}}}} If not, see [[http:]][[https:]]//www.gnu.org/licenses]]]]
+    """
+
+
 TEMPLATES = {
     "mit-text": """
         Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -82,18 +97,59 @@ TEMPLATES = {
         an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
         See the License for the specific language governing permissions and limitations under the License.
     """,
-    "gpl-notice": """
-        [[This work is]] licensed under the GNU General Public License[[, version {{2}}]]
+    "zlib": """
+        This software is provided 'as-is', without any express or implied warranty. In no event will the
+        authors be held liable for any damages arising from the use of this software. Permission is granted
+        to anyone to use this software for any purpose, including commercial applications, and to alter it
+        and redistribute it freely, subject to the following restrictions: [[1.]] The origin of this
+        software must not be misrepresented; you must not claim that you wrote the original software. If you
+        use this software in a product, an acknowledgment in the product documentation would be appreciated
+        but is not required. [[2.]] Altered source versions must be plainly marked as such, and must not be
+        misrepresented as being the original software. [[3.]] This notice may not be removed or altered from
+        any source distribution.
+    """,
+    "unlicense": """
+        This is free and unencumbered software released into the public domain. Anyone is free to copy,
+        modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+        compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions
+        that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+        interest in the software to the public domain. We make this dedication for the benefit of the public
+        at large and to the detriment of our heirs and successors. We intend this dedication to be an overt
+        act of relinquishment in perpetuity of all present and future rights to this software under copyright
+        law.
+    """ + WARRANTY + "[[For more information, please refer to [[http:]][[https:]]//unlicense.org]]",
+    "bsl-1.0": """
+        Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the
+        software and accompanying documentation covered by this license (the "Software") to use, reproduce,
+        display, distribute, execute, and transmit the Software, and to prepare derivative works of the
+        Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the
+        following: The copyright notices in the Software and this entire statement, including the above
+        license grant, this restriction and the following disclaimer, must be included in all copies of the
+        Software, in whole or in part, and all derivative works of the Software, unless such copies or
+        derivative works are solely in the form of machine-executable object code generated by a source
+        language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+        IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+        PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING
+        THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
     """,
-    "gpl-header": """
-        free software[[:]] you can redistribute it and/or modify it under the terms of the GNU
-        [[Lesser]] General Public License as published by the Free Software Foundation[[,]] either
-        version {{2}} of the License, or (at your option) any later version
+    "mpl-2.0-header": """
+        This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
+        MPL was not distributed with this file, You can obtain one at [[http:]][[https:]]//mozilla.org/MPL/2.0
     """,
+    "gpl-notice": "[[This work is]] licensed under the GNU General Public License" + VERSION,
+    "lgpl-notice": "[[This work is]] licensed under the GNU Lesser General Public License" + VERSION,
+    "agpl-notice": "[[This work is]] licensed under the GNU Affero General Public License" + VERSION,
+    "gpl-header": _gnu_header("General Public License"),
+    "lgpl-header": _gnu_header("Lesser General Public License"),
+    "agpl-header": _gnu_header("Affero General Public License"),
     "cc-notice": """
-        [[This work is]] licensed under a Creative Commons Attribution {{8}} International License
+        [[This work is]] licensed under a Creative Commons Attribution[[-NonCommercial]][[-ShareAlike]]
+        [[-NoDerivatives]] [[{{2}}]] International License
+    """,
+    "cc-by-nc-notice": """
+        licensed under CC BY-NC[[-SA]][[-ND]] [[1.0]][[2.0]][[2.5]][[3.0]][[4.0]] [[International]]
     """,
-    "cc-by-nc-notice": "licensed under CC BY-NC[[-{{1}}]] [[{{2}}]]",
 }
 
 

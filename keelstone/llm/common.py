@@ -71,3 +71,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .distinct()
         )
         edges = stored(small, name)
+
+
+def one_row(found: DataFrame, columns: list[str], *keys: str) -> DataFrame:
+    """One of the rows of the same keys, as column ``__one``: the one whose columns have the
+    smallest digest, so that a rerun takes the same."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    return found.groupBy(*keys).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias("__one"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from keelstone.llm.common import row_key, stored
+from keelstone.llm.common import one_row, row_key, stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -207,17 +207,22 @@ def mix(
 def mixed(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source"
 ) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it as a whole."""
+    """The rows of ``docs``, each as often as the mix takes it as a whole.
+
+    Rows equal in id and text are taken as often as all of them together; the one whose
+    columns have the smallest digest is repeated.
+    """
     copies = (
         mix(docs, id_column, text_column, source_column, in_part=False)
         .groupBy(F.col("key").alias("__key"))
         .agg(F.sum("copies").cast("int").alias("__copies"))
         .where("__copies > 0")
     )
+    found = docs.withColumn("__row", row_key(id_column, text_column)).join(
+        copies, F.col("__row") == F.col("__key")
+    )
     return (
-        docs.withColumn("__row", row_key(id_column, text_column))
-        .join(copies, F.col("__row") == F.col("__key"))
-        .dropDuplicates(["__row"])
+        one_row(found, docs.columns, "__row", "__copies")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .drop("__row", "__key", "__copies", "__copy")
+        .select("__one.*")
     )

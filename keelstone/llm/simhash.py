@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelstone.llm.common import components, row_key, stored
+from keelstone.llm.common import components, one_row, row_key, stored
 
 SEED = 42
 WORDS_PER_SHINGLE = 3
@@ -233,17 +233,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their group: the smallest id of each.
 
-    Of rows that repeat that id the one with the smallest key stays. Rows without id
-    stay only where no other row has their fingerprint.
+    Of rows that repeat that id the one with the smallest key stays, and of those equal in
+    id and text the one whose columns have the smallest digest. Rows without id stay only
+    where no other row has their fingerprint.
     """
     rows = stored(fingerprints(docs, id_column, text_column), "fingerprints")
     groups = rows.join(linked(rows), "fp", "left")
     kept = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))).agg(
         F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("__kept")
     )
-    return (
-        docs.withColumn("__row", row_key(id_column, text_column))
-        .join(kept.select("__kept"), F.col("__row") == F.col("__kept"))
-        .dropDuplicates(["__row"])
-        .drop("__row", "__kept")
+    found = docs.withColumn("__row", row_key(id_column, text_column)).join(
+        kept.select("__kept"), F.col("__row") == F.col("__kept")
     )
+    return one_row(found, docs.columns, "__row").select("__one.*")

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from keelstone.llm import embeddings, fingerprints, mixing, quality, simhash
+from keelstone.llm import embeddings, fingerprints, mixing, near_copies, quality, simhash
 from keelstone.llm.common import components
 
 # --- components
@@ -447,6 +447,19 @@ def test_mix_rows(awkward, nothing):
     assert mixing.mix(nothing).count() == 0 and mixing.mixed(nothing).count() == 0
 
 
+def test_equal_rows_are_chosen_by_their_columns(spark):
+    """Rows equal in id and text that differ elsewhere: any order of rows gives the same one."""
+    rows = [(1, "one two three", "a", k, {"k": str(k)}) for k in range(20)] + [(2, "four", "b", 0, None)]
+    schema = "doc_id long, text string, source string, `doc.no` int, more map<string,string>"
+    for keep in (mixing.mixed, simhash.keep_one, near_copies.keep_one):
+        found = []
+        for part in (rows, rows[::-1]):
+            out = keep(spark.createDataFrame(part, schema).repartition(3))
+            assert out.columns == ["doc_id", "text", "source", "doc.no", "more"]
+            found.append(sorted((tuple(r) for r in out.collect()), key=repr))
+        assert found[0] == found[1] and found[0]
+
+
 # --- embeddings
 
 

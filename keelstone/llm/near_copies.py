@@ -1,20 +1,27 @@
-"""One document of each group of near copies: five-word shingles, Jaccard 0.8.
+"""One document of each group of near copies: SimHash of five-word shingles, Jaccard 0.8.
 
-SimHash fingerprints of such pairs differ in up to 11 bits on the given tables, and
-no number of bits bounds them, so a covering code of two bits does not find them. Here
-candidates come from MinHash: ``BANDS`` keys of ``ROWS`` minima each, so a pair at the
-limit is missed with probability (1 - 0.8^6)^40 = 5e-6, more similar ones less often.
-Every link is then checked on the shingles themselves.
+Every shingle votes on each bit of ``FINGERPRINTS`` SimHash fingerprints of ``BITS`` bits.
+At Jaccard 0.8 one bit in seven differs, too many for a code over all bits, but what
+differs are the bits with close votes. So each fingerprint keeps its ``STRONG`` bits with
+the widest margins, and any ``TRIPLE`` of them, with their values, are an anchor: two
+fingerprints meet where at most three of their six strong bits differ, with probability
+0.65 at the limit. All twelve miss such a pair with probability (1 - 0.65)^12 = 4e-6, more
+similar ones less often.
+
+Of the pairs that meet, those go on whose first ``COMPARED`` bits differ in at most
+``DIFFERING`` places (39 are expected at the limit with a deviation of 6, 128 of unrelated
+texts), and every link is then checked on the shingles themselves.
 
 Texts with the same words are one node, and only the hashes of a node's shingles travel.
-Within a bucket of equal keys
+Within a bucket of one anchor
 
 * every node is first compared with the smallest one. A smallest node that many others
   meet is copied once for each of ``PARTS`` parts of them, not once for each pair;
 * in buckets whose nodes are not all connected after that, nodes outside the component
-  of the smallest are held in blocks of ``BLOCK`` and all others stream past them. Each
-  pair is compared in its first common bucket only, pairs stay inside the task, and
-  what leaves it are edges that connect something new.
+  of the smallest are held in blocks of ``BLOCK`` and all others stream past them, first
+  the fingerprints, then the shingles of the nodes near another one. Each pair is
+  compared in its first common bucket only, pairs stay inside the task, and what leaves
+  it are edges that connect something new.
 
 So the rows of every join grow in proportion to the nodes of a bucket, and the result
 is that of comparing all its pairs.
@@ -22,7 +29,7 @@ is that of comparing all its pairs.
 
 from __future__ import annotations
 
-from itertools import groupby, repeat
+from itertools import combinations, groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +41,12 @@ from keelstone.llm.common import components, one_row, row_key, stored
 
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 40
-ROWS = 6
+FINGERPRINTS = 12
+BITS = 512
+STRONG = 6
+TRIPLE = 3
+COMPARED = 256
+DIFFERING = 80
 SEED = 42
 #: Up to so many keys of wanted texts are broadcast; more are sorted and merged.
 FEW = 100_000
@@ -43,10 +54,15 @@ FEW = 100_000
 PARTS = 64
 #: Nodes held at a time while the others of their bucket stream past.
 BLOCK = 512
+BLOCK_KEY = ["band", "key", "block", "part"]
 
+_WORDS = FINGERPRINTS * BITS // 64
 _draw = np.random.Generator(np.random.PCG64(SEED))
-_MASKS = _draw.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64)
-_FACTORS = _draw.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+_MASKS = _draw.integers(0, 1 << 64, _WORDS, dtype=np.uint64)
+_FACTORS = _draw.integers(0, 1 << 64, (2, _WORDS), dtype=np.uint64) | np.uint64(1)
+#: A strong bit is a number of ``_CODE`` bits: its place and its value.
+_CODE = BITS.bit_length()
+_TRIPLES = np.array(list(combinations(range(STRONG), TRIPLE)))
 
 
 def words(text: str | None) -> list[bytes]:
@@ -68,32 +84,108 @@ def shingle_hashes(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter(hashes, dtype=np.uint64, count=len(found)))
 
 
-def band_keys(text: str | None) -> list[int]:
-    """The signed bucket of every band."""
+def votes(hashes: np.ndarray) -> np.ndarray:
+    """How many shingles set each bit of the fingerprints."""
+    counts = np.zeros(_WORDS * 64, dtype=np.int64)
+    for at in range(0, len(hashes), 64):  # sums of up to 255 bits fit a byte
+        mixed = (hashes[at : at + 64, None] ^ _MASKS) * _FACTORS[0]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= _FACTORS[1]
+        mixed ^= mixed >> np.uint64(29)
+        bits = np.unpackbits(mixed.astype("<u8", copy=False).view(np.uint8), axis=1, bitorder="little")
+        counts += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return counts
+
+
+def fingerprint(text: str | None) -> tuple[bytes, bytes]:
+    """The compared bits and, sorted for each fingerprint, the codes of the strong bits."""
     hashes = shingle_hashes(text)
-    if not len(hashes):
-        return [0] * BANDS
-    minima = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), 512):
-        mixed = (hashes[at : at + 512, None] ^ _MASKS) * _FACTORS
-        np.minimum(minima, mixed.min(axis=0), out=minima)
-    raw = minima.reshape(BANDS, ROWS).astype("<u8")
-    keys = [xxhash.xxh64_intdigest(raw[k].tobytes(), k) for k in range(BANDS)]
-    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+    margins = 2 * votes(hashes) - len(hashes)
+    compared = np.packbits(margins[:COMPARED] > 0, bitorder="little")
+    margins = margins.reshape(FINGERPRINTS, BITS)
+    # of equal margins the first bits are taken, in every text the same
+    ranks = np.abs(margins) * BITS + np.arange(BITS)[::-1]
+    places = np.argpartition(ranks, BITS - STRONG, axis=1)[:, BITS - STRONG :]
+    codes = 2 * places + (np.take_along_axis(margins, places, axis=1) > 0)
+    return compared.tobytes(), np.sort(codes, axis=1).astype("<i2").tobytes()
+
+
+def _bits(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, COMPARED // 64)
+
+
+def _codes(column) -> np.ndarray:
+    flat = np.frombuffer(b"".join(column.to_pylist()), "<i2")
+    return flat.reshape(-1, FINGERPRINTS, STRONG).astype(np.int64)
+
+
+def anchors_of(codes: np.ndarray) -> np.ndarray:
+    """The anchors of nodes, one row for each: number of the fingerprint, then the codes."""
+    parts = codes[:, :, _TRIPLES]
+    anchors = np.broadcast_to(np.arange(FINGERPRINTS)[None, :, None], parts.shape[:3])
+    for k in range(TRIPLE):
+        anchors = anchors << _CODE | parts[..., k]
+    return anchors.reshape(len(codes), -1)
 
 
 def _nodes(batches):
     for batch in batches:
         texts = [x.as_py() for x in batch.column("text")]
         nodes = [xxhash.xxh64_intdigest(b" ".join(words(x)), SEED) for x in texts]
+        found = [fingerprint(x) for x in texts]
+        bits = [np.frombuffer(x, "<i8") for x, _ in found]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("row_key"),
                 pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)),
-                pa.array([band_keys(x) for x in texts], pa.list_(pa.int64())),
+                pa.array(bits, pa.list_(pa.int64())),
+                pa.array([x for _, x in found], pa.binary()),
+            ],
+            names=["doc_id", "row_key", "node", "bits", "codes"],
+        )
+
+
+def _at_anchors(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            anchors = anchors_of(_codes(part.column("codes")))
+            nodes = part.column("node").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchors.ravel()), pa.array(np.repeat(nodes, anchors.shape[1]))],
+                names=["anchor", "node"],
+            )
+
+
+def _shared(batches):
+    """Rows sorted by anchor and node that are not alone at their anchor, with its smallest
+    node, and whether there may be more than two."""
+    anchor, first, alone = None, None, False  # of the last row so far
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at, nodes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "node"))
+        goes_on = at[0] == anchor
+        if goes_on and alone:
+            at, nodes = np.r_[anchor, at], np.r_[first, nodes]
+        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        sizes = np.diff(np.r_[starts, len(at)])
+        lowest, more, several = nodes[starts], sizes > 2, sizes > 1
+        if goes_on:
+            lowest[0], more[0], several[0] = first, True, True
+        more[-1] |= several[-1]  # the last anchor may go on in the next batch
+        anchor, first, alone = at[-1], lowest[-1], not several[-1]
+        lowest, more, kept = (np.repeat(x, sizes) for x in (lowest, more, several))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array((at[kept] >> TRIPLE * _CODE).astype(np.int32)),
+                pa.array(at[kept] & (1 << TRIPLE * _CODE) - 1),
+                pa.array(nodes[kept]),
+                pa.array(lowest[kept]),
+                pa.array(more[kept]),
             ],
-            names=["doc_id", "row_key", "node", "bands"],
+            names=["band", "key", "node", "first", "more"],
         )
 
 
@@ -191,7 +283,8 @@ def _at_hubs(batches):
     for (hub, _), pieces in _runs(batches, ["a", "part"]):
         own = None
         for piece in pieces:
-            sets, nodes = _sets(piece.column("hashes")), piece.column("b").to_numpy(zero_copy_only=False)
+            # with nulls in it the column would become one of floats, which round the ids
+            sets, nodes = _sets(piece.column("hashes")), piece.column("b").fill_null(0).to_numpy()
             if own is None:
                 own, sets, nodes = sets[:1], sets[1:], nodes[1:]
             if len(sets):
@@ -199,15 +292,78 @@ def _at_hubs(batches):
                 yield _edges(np.full(found.sum(), hub), nodes[found])
 
 
+def near(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Which pairs of fingerprints differ in few of the compared bits."""
+    differing = np.zeros((len(one), len(many)), dtype=np.int32)
+    for k in range(one.shape[1]):
+        differing += np.bitwise_count(one[:, None, k] ^ many[None, :, k])
+    return differing <= DIFFERING
+
+
+def _near_another(batches):
+    """The rows of blocks whose fingerprint is near one of another component on the other side."""
+
+    def columns(piece):
+        return piece.column("component").to_numpy(zero_copy_only=False), _bits(piece.column("bits"))
+
+    def meet(a, b):
+        return (a[0][:, None] != b[0][None, :]) & near(a[1], b[1])
+
+    for (*_, part), pieces in _runs(batches, BLOCK_KEY):
+        held, closed = [], None
+        for piece in pieces:
+            cut = int(np.searchsorted(piece.column("streamed").to_numpy(zero_copy_only=False), 1))
+            if cut:
+                held.append(piece.slice(0, cut))
+            if held and cut < piece.num_rows:
+                if closed is None:
+                    closed = [np.concatenate(x) for x in zip(*map(columns, held), strict=True)]
+                    seen = np.zeros(len(closed[0]), dtype=bool)
+                for at in range(cut, piece.num_rows, BLOCK):
+                    others = piece.slice(at, BLOCK)
+                    found = meet(closed, columns(others))
+                    seen |= found.any(axis=1)
+                    yield others.filter(pa.array(found.any(axis=0))).drop_columns(["bits"])
+        if not held:
+            continue
+        if closed is None:
+            closed = [np.concatenate(x) for x in zip(*map(columns, held), strict=True)]
+            seen = np.zeros(len(closed[0]), dtype=bool)
+        if part == 0:  # the first part compares the held nodes with each other
+            seen |= meet(closed, closed).any(axis=1)
+        at = 0
+        for piece in held:
+            yield piece.filter(pa.array(seen[at : at + piece.num_rows])).drop_columns(["bits"])
+            at += piece.num_rows
+
+
+def _agreeing(one: np.ndarray, many: np.ndarray, last: int) -> np.ndarray:
+    """How many codes up to ``last`` the strong bits of each pair share."""
+    tables = []
+    for codes in (one, many):
+        table = np.zeros((len(codes), 2 * BITS), dtype=np.float32)
+        np.put_along_axis(table, codes, 1, axis=1)
+        table[:, last + 1 :] = 0
+        tables.append(table)
+    return (tables[0] @ tables[1].T).astype(np.int64)
+
+
+def first_met(one: np.ndarray, many: np.ndarray, band: int, key: int) -> np.ndarray:
+    """Which pairs that share this anchor share none before it."""
+    first = _agreeing(one[:, band], many[:, band], key & (1 << _CODE) - 1) == TRIPLE
+    for earlier in range(band):
+        first &= _agreeing(one[:, earlier], many[:, earlier], 2 * BITS) < TRIPLE
+    return first
+
+
 def _at_blocks(batches):
     """Edges that connect the components within a bucket, each pair seen in one bucket only."""
 
     def columns(piece):
-        bands = piece.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
         plain = [piece.column(c).to_numpy(zero_copy_only=False) for c in ("node", "component")]
-        return *plain, bands, _sets(piece.column("hashes"))
+        return *plain, _codes(piece.column("codes")), _sets(piece.column("hashes"))
 
-    def connect(held, others, band, parent, upper):
+    def connect(held, others, band, key, parent, upper):
         """Edges between held and other nodes that join what was apart."""
 
         def find(x):
@@ -219,8 +375,8 @@ def _at_blocks(batches):
         wanted = held[1][:, None] != others[1][None, :]
         if upper:
             wanted &= held[0][:, None] < others[0][None, :]
-        for earlier in range(band):
-            wanted &= held[2][:, None, earlier] != others[2][None, :, earlier]
+        if wanted.any():
+            wanted &= first_met(held[2], others[2], band, key)
         if not wanted.any():
             return [], []
         a, b = [], []
@@ -232,7 +388,7 @@ def _at_blocks(batches):
                 b.append(others[0][j])
         return a, b
 
-    for (band, _, _, part), pieces in _runs(batches, ["band", "key", "block", "part"]):
+    for (band, key, _, part), pieces in _runs(batches, BLOCK_KEY):
         held, parent, closed = [], {}, None
         for piece in pieces:
             streamed = piece.column("streamed").to_numpy(zero_copy_only=False)
@@ -242,15 +398,15 @@ def _at_blocks(batches):
             if held and cut < piece.num_rows:  # a block may have no nodes
                 closed = closed or _joined(held)
                 for at in range(cut, piece.num_rows, BLOCK):
-                    yield _edges(*connect(closed, columns(piece.slice(at, BLOCK)), band, parent, False))
+                    yield _edges(*connect(closed, columns(piece.slice(at, BLOCK)), band, key, parent, False))
         if part == 0 and held:  # the first part compares the held nodes with each other
             closed = closed or _joined(held)
-            yield _edges(*connect(closed, closed, band, parent, True))
+            yield _edges(*connect(closed, closed, band, key, parent, True))
 
 
 def _joined(held):
-    nodes, components_, bands, sets = zip(*held, strict=True)
-    return np.concatenate(nodes), np.concatenate(components_), np.vstack(bands), [x for y in sets for x in y]
+    nodes, components_, codes, sets = zip(*held, strict=True)
+    return np.concatenate(nodes), np.concatenate(components_), np.concatenate(codes), [x for y in sets for x in y]
 
 
 def _grouped(classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -285,7 +441,8 @@ def _mixed(buckets: DataFrame, groups: DataFrame) -> DataFrame:
         F.max("node").alias("high"),
     )
     # buckets of the same nodes hold the same pairs, which the first of them compares
-    sizes = sizes.where("apart > 0").groupBy("apart", "n", "x", "low", "high")
+    # of two nodes one is the smallest, with which the other is compared already
+    sizes = sizes.where("apart > 0 AND n > 2").groupBy("apart", "n", "x", "low", "high")
     sizes = sizes.agg(F.min(F.struct("band", "key")).alias("at"))
     sizes = sizes.select(
         "at.band",
@@ -309,29 +466,44 @@ def _mixed(buckets: DataFrame, groups: DataFrame) -> DataFrame:
             ),
         }
     )
-    return rows.select("band", "key", "block", "part", "streamed", "node", "component")
+    return rows.select(*BLOCK_KEY, "streamed", "node", "component")
+
+
+def _near_the_smallest(stars: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (smallest node ``a`` of a bucket, ``b``) whose fingerprints are near."""
+    one = classes.select(F.col("node").alias("a"), F.col("bits").alias("x"))
+    many = classes.select(F.col("node").alias("b"), F.col("bits").alias("y"))
+    differing = sum(F.bit_count(F.col("x")[k].bitwiseXOR(F.col("y")[k])) for k in range(COMPARED // 64))
+    return stars.join(one, "a").join(many, "b").where(differing <= DIFFERING).select("a", "b")
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY, "streamed")
 
 
 def linked(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """``node`` and ``component`` of every node: connected by similar pairs."""
-    classes = stored(
-        rows.groupBy("node").agg(F.min("row_key").alias("row_key"), F.any_value("bands").alias("bands")),
-        "classes",
-    )
-    buckets = classes.select("node", F.posexplode("bands").alias("band", "key"))
-    shared = buckets.groupBy("band", "key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    shared = shared.where("first < last").select("band", "key", "first")
-    buckets = stored(buckets.join(shared, ["band", "key"]), "buckets")
-    hashes = _hashes(buckets.select("node").distinct(), classes, texts)
+    facts = [F.any_value(c).alias(c) for c in ("bits", "codes")]
+    classes = stored(rows.groupBy("node").agg(F.min("row_key").alias("row_key"), *facts), "classes")
+    anchors = classes.select("node", "codes").mapInArrow(_at_anchors, "anchor long, node long")
+    buckets = anchors.repartition("anchor").sortWithinPartitions("anchor", "node")
+    schema = "band int, key long, node long, first long, more boolean"
+    buckets = stored(buckets.mapInArrow(_shared, schema), "buckets")
+
     stars = buckets.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    edges = stored(_like_the_smallest(stored(stars.distinct(), "stars"), hashes), "similar")
+    stars = stored(_near_the_smallest(stars.distinct(), classes), "stars")
+    hashes = _hashes(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, texts)
+    edges = stored(_like_the_smallest(stars, hashes), "similar")
     groups = stored(_grouped(classes, edges), "groups")
 
-    facts = hashes.join(classes.select("node", "bands"), "node")
-    members = _mixed(buckets, groups).join(facts, "node")
-    key = ["band", "key", "block", "part"]
-    members = members.repartition(*key).sortWithinPartitions(*key, "streamed")
-    more = stored(members.mapInArrow(_at_blocks, "a long, b long"), "connecting")
+    members = _mixed(buckets.where("more").drop("more"), groups).join(classes.select("node", "bits"), "node")
+    schema = "band int, key long, block long, part long, streamed int, node long, component long"
+    members = _in_blocks(members.select(*BLOCK_KEY, "streamed", "node", "component", "bits"))
+    members = stored(members.mapInArrow(_near_another, schema), "near")
+    others = members.select("node").distinct().join(hashes, "node", "left_anti")
+    hashes = hashes.union(_hashes(others, classes, texts))
+    members = members.join(classes.select("node", "codes"), "node").join(hashes, "node")
+    more = stored(_in_blocks(members).mapInArrow(_at_blocks, "a long, b long"), "connecting")
     return _grouped(classes, edges.union(more))
 
 
@@ -349,7 +521,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         row_key(id_column, text_column).alias("row_key"),
         F.col(text_column).cast("string").alias("text"),
     )
-    schema = "doc_id long, row_key string, node long, bands array<long>"
+    schema = "doc_id long, row_key string, node long, bits array<long>, codes binary"
     rows = stored(keyed.mapInArrow(_nodes, schema), "nodes")
     groups = rows.select("doc_id", "row_key", "node").join(linked(rows, keyed.select("row_key", "text")), "node")
     kept = groups.groupBy("component").agg(

@@ -7,6 +7,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +140,95 @@ def test_odd_rows(spark, awkward, nothing):
     # 6 of their 8 shingles are shared, so only the repeated texts go
     assert sorted(k for k in found if k is not None and 20 <= k < 30) == [20, 21, 22]
     assert corpus_pipeline.distinct(spark, nothing, None).count() == 0
+
+
+def test_candidates_come_from_simhash(monkeypatch, spark):
+    """Texts that share no anchor, or whose fingerprints are far apart, are not linked, however
+    alike they are: nothing but SimHash proposes pairs."""
+    text = " ".join(f"w{k}" for k in range(300))
+    docs = spark.createDataFrame([(1, text, "en", "a", 9), (2, text + " end", "en", "a", 9)], SCHEMA)
+    assert kept(spark, docs) == [1]
+    with monkeypatch.context() as patch:
+        patch.setattr(near_copies, "DIFFERING", -1)
+        assert kept(spark, docs) == [1, 2]
+
+
+def test_votes_and_strong_bits():
+    """Fingerprints against votes counted shingle by shingle."""
+    text = " ".join(f"w{k % 70}" for k in range(150))
+    hashes = near_copies.shingle_hashes(text).tolist()
+    counts = [0] * (near_copies.FINGERPRINTS * near_copies.BITS)
+    for h in hashes:
+        for k in range(len(counts) // 64):
+            x = (h ^ int(near_copies._MASKS[k])) * int(near_copies._FACTORS[0, k]) % 2**64
+            x = (x ^ x >> 32) * int(near_copies._FACTORS[1, k]) % 2**64
+            x ^= x >> 29
+            for bit in range(64):
+                counts[64 * k + bit] += x >> bit & 1
+    assert near_copies.votes(near_copies.shingle_hashes(text)).tolist() == counts
+    compared, codes = near_copies.fingerprint(text)
+    bits = [2 * c > len(hashes) for c in counts]
+    assert int.from_bytes(compared, "little") == sum(b << k for k, b in enumerate(bits[: near_copies.COMPARED]))
+    found = np.frombuffer(codes, "<i2").reshape(near_copies.FINGERPRINTS, near_copies.STRONG)
+    for f, own in enumerate(found.tolist()):
+        at = range(f * near_copies.BITS, (f + 1) * near_copies.BITS)
+        strong = sorted(at, key=lambda k: (-abs(2 * counts[k] - len(hashes)), k))[: near_copies.STRONG]
+        assert own == sorted(2 * (k - at[0]) + bits[k] for k in strong)
+
+
+def test_texts_at_the_limit_share_an_anchor():
+    """Pairs at 0.8 of the shingles: how many fingerprints meet, and how many bits differ."""
+    rng = np.random.default_rng(3)
+
+    def found(hashes):
+        margins = 2 * near_copies.votes(hashes) - len(hashes)
+        return margins[: near_copies.COMPARED] > 0
+
+    for size, both in ((9, 8), (90, 80), (450, 400)):
+        for _ in range(20):
+            hashes = rng.integers(0, 1 << 64, 2 * size - both, dtype=np.uint64)
+            assert (found(hashes[:size]) != found(hashes[size - both :])[: near_copies.COMPARED]).sum() <= near_copies.DIFFERING
+    words = [f"w{k}" for k in range(404)]
+    met = []
+    for k in range(40):
+        # 45 of 400 shingles change: 9 places of 5, far apart
+        other = list(words)
+        for place in range(10, 400, 44):
+            other[place] = f"v{k}-{place}"
+        a, b = (near_copies._codes(pa.array([near_copies.fingerprint(" ".join(x))[1]])) for x in (words, other))
+        shared = set(near_copies.anchors_of(a)[0].tolist()) & set(near_copies.anchors_of(b)[0].tolist())
+        assert shared
+        met.append(len({x >> 30 for x in shared}))
+        first = [near_copies.first_met(a, b, x >> 30, x & (1 << 30) - 1)[0, 0] for x in sorted(shared)]
+        assert first == [True] + [False] * (len(first) - 1)
+    assert 0.55 < np.mean(met) / near_copies.FINGERPRINTS < 0.75
+
+
+def test_anchors_over_several_batches():
+    """Runs of one anchor that are cut by batches: whole, and with their smallest node."""
+    rng = random.Random(4)
+    rows = sorted({(rng.randrange(40) << 30 | 5, rng.randrange(-50, 50)) for _ in range(90)})
+    rows += [(99 << 30, k) for k in range(20)] + [(99 << 30 | 1, 3)]
+    groups = {a: [n for b, n in rows if b == a] for a, _ in rows}
+    wanted = sorted((a >> 30, a & (1 << 30) - 1, n, min(g)) for a, g in groups.items() if len(g) > 1 for n in g)
+    for step in (1, 2, 3, 7, 200):
+        batches = [
+            pa.RecordBatch.from_pydict({"anchor": [a for a, _ in rows[k : k + step]], "node": [n for _, n in rows[k : k + step]]})
+            for k in range(0, len(rows), step)
+        ]
+        out = [tuple(r.values()) for b in near_copies._shared(batches) for r in b.to_pylist()]
+        assert sorted(r[:4] for r in out) == wanted
+        flags = {}
+        for band, key, _, _, more in out:
+            flags.setdefault((band, key), set()).add(more)
+        assert all(len(x) == 1 for x in flags.values())
+        assert all(flags[a >> 30, a & (1 << 30) - 1] == {True} for a, g in groups.items() if len(g) > 2)
+
+
+def test_star_edges_keep_all_digits():
+    """Ids of 64 bits beside the null that marks the smallest node."""
+    sets = np.arange(9, dtype="<u8").tobytes()
+    rows = {"a": [2**60 + 1] * 2, "part": [0, 0], "b": [None, 2**62 + 3], "hashes": [sets, sets]}
+    schema = pa.schema([("a", pa.int64()), ("part", pa.int32()), ("b", pa.int64()), ("hashes", pa.binary())])
+    out = list(near_copies._at_hubs([pa.RecordBatch.from_pydict(rows, schema=schema)]))
+    assert [x.to_pylist() for x in out] == [[{"a": 2**60 + 1, "b": 2**62 + 3}]]

@@ -20,7 +20,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 of its five-word shingles pair by pair."""
+    """One document of each group that shares 0.8 of its five-word shingles pair by pair, found by SimHash."""
     return near_copies.keep_one(docs)
 
 

@@ -340,19 +340,25 @@ def _near_another(batches):
 
 def _agreeing(one: np.ndarray, many: np.ndarray, last: int) -> np.ndarray:
     """How many codes up to ``last`` the strong bits of each pair share."""
+    both = np.intersect1d(one, many)
+    both = both[both <= last]
     tables = []
     for codes in (one, many):
-        table = np.zeros((len(codes), 2 * BITS), dtype=np.float32)
-        np.put_along_axis(table, codes, 1, axis=1)
-        table[:, last + 1 :] = 0
+        column = np.searchsorted(both, codes)
+        inside = column < len(both)
+        inside[inside] = both[column[inside]] == codes[inside]
+        table = np.zeros((len(codes), len(both)), dtype=np.float32)
+        table[np.nonzero(inside)[0], column[inside]] = 1
         tables.append(table)
-    return (tables[0] @ tables[1].T).astype(np.int64)
+    return tables[0] @ tables[1].T
 
 
 def first_met(one: np.ndarray, many: np.ndarray, band: int, key: int) -> np.ndarray:
     """Which pairs that share this anchor share none before it."""
     first = _agreeing(one[:, band], many[:, band], key & (1 << _CODE) - 1) == TRIPLE
     for earlier in range(band):
+        if not first.any():
+            break
         first &= _agreeing(one[:, earlier], many[:, earlier], 2 * BITS) < TRIPLE
     return first
 

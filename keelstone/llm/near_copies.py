@@ -14,18 +14,23 @@ Of the pairs that meet, those go on whose first ``COMPARED`` bits differ in at m
 texts), and every link is then checked on the shingles themselves.
 
 Texts with the same words are one node, and only the hashes of a node's shingles travel.
-Within a bucket of one anchor
-
-* every node is first compared with the smallest one. A smallest node that many others
-  meet is copied once for each of ``PARTS`` parts of them, not once for each pair;
-* in buckets whose nodes are not all connected after that, nodes outside the component
-  of the smallest are held in blocks of ``BLOCK`` and all others stream past them, first
-  the fingerprints, then the shingles of the nodes near another one. Each pair is
-  compared in its first common bucket only, pairs stay inside the task, and what leaves
-  it are edges that connect something new.
-
-So the rows of every join grow in proportion to the nodes of a bucket, and the result
-is that of comparing all its pairs.
+The bucket of an anchor is cut where the sizes of its nodes' shingle sets leave a gap that
+no pair at the limit spans. The largest node of each piece is its hub, and all pieces of
+one hub are one crowd, in which a node is one row however many anchors it shares.
+
+* Every node is first compared with ``HUBS`` of its hubs, and with all that it meets alone. A
+  hub that many others meet is copied once for each of ``PARTS`` parts of them, not once for
+  each pair.
+* A node then goes on only if enough of its shingles occur in a node of another component
+  that shares an anchor with two others; with fewer it has no link to find.
+* In crowds whose nodes are not all connected, nodes outside the component of the hub are
+  held in blocks of ``BLOCK`` and all others stream past them, first the fingerprints, then
+  the shingles of the nodes that can be like another one. Each pair is proposed in its first
+  common crowd only, pairs stay inside the task, and what leaves it are edges that connect
+  something new.
+
+So a node is a row for each of its hubs (240 at most), once more for each further block of
+its crowd, and every pair that meets at an anchor is compared or known not to be similar.
 """
 
 from __future__ import annotations
@@ -51,11 +56,13 @@ DIFFERING = 80
 SEED = 42
 #: Up to so many keys of wanted texts are broadcast; more are sorted and merged.
 FEW = 100_000
-#: Parts in which the nodes are compared with the smallest one of their bucket.
+#: So many hubs of larger crowds each node is compared with before the others.
+HUBS = 2
+#: Parts in which the nodes are compared with their hub.
 PARTS = 64
 #: Nodes held at a time while the others of their bucket stream past.
 BLOCK = 512
-BLOCK_KEY = ["band", "key", "block", "part"]
+BLOCK_KEY = ["first", "block", "part"]
 
 _WORDS = FINGERPRINTS * BITS // 64
 _draw = np.random.Generator(np.random.PCG64(SEED))
@@ -100,7 +107,10 @@ def votes(hashes: np.ndarray) -> np.ndarray:
 
 def fingerprint(text: str | None) -> tuple[bytes, bytes]:
     """The compared bits and, sorted for each fingerprint, the codes of the strong bits."""
-    hashes = shingle_hashes(text)
+    return _fingerprint(shingle_hashes(text))
+
+
+def _fingerprint(hashes: np.ndarray) -> tuple[bytes, bytes]:
     margins = 2 * votes(hashes) - len(hashes)
     compared = np.packbits(margins[:COMPARED] > 0, bitorder="little")
     margins = margins.reshape(FINGERPRINTS, BITS)
@@ -133,7 +143,8 @@ def _nodes(batches):
     for batch in batches:
         texts = [x.as_py() for x in batch.column("text")]
         nodes = [xxhash.xxh64_intdigest(b" ".join(words(x)), SEED) for x in texts]
-        found = [fingerprint(x) for x in texts]
+        hashes = [shingle_hashes(x) for x in texts]
+        found = [_fingerprint(x) for x in hashes]
         bits = [np.frombuffer(x, "<i8") for x, _ in found]
         yield pa.RecordBatch.from_arrays(
             [
@@ -142,8 +153,9 @@ def _nodes(batches):
                 pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)),
                 pa.array(bits, pa.list_(pa.int64())),
                 pa.array([x for _, x in found], pa.binary()),
+                pa.array([len(x) for x in hashes], pa.int32()),
             ],
-            names=["doc_id", "row_key", "node", "bits", "codes"],
+            names=["doc_id", "row_key", "node", "bits", "codes", "size"],
         )
 
 
@@ -152,42 +164,52 @@ def _at_anchors(batches):
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
             anchors = anchors_of(_codes(part.column("codes")))
-            nodes = part.column("node").to_numpy(zero_copy_only=False)
+            repeated = [
+                pa.array(np.repeat(part.column(c).to_numpy(zero_copy_only=False), anchors.shape[1]))
+                for c in ("size", "node")
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchors.ravel()), pa.array(np.repeat(nodes, anchors.shape[1]))],
-                names=["anchor", "node"],
+                [pa.array(anchors.ravel()), *repeated], names=["anchor", "size", "node"]
             )
 
 
+def _too_small(sizes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which sets have too few elements to be similar to the others, which are no smaller."""
+    return sizes < SIMILARITY * others - 1e-9
+
+
 def _shared(batches):
-    """Rows sorted by anchor and node that are not alone at their anchor, with its smallest
-    node, and whether there may be more than two."""
-    anchor, first, alone = None, None, False  # of the last row so far
+    """Rows sorted by anchor, falling size and node that are not alone at their anchor, with the
+    first node, and whether there may be more than two. With sizes, an anchor is cut where they
+    leave a gap, and ``like`` says whether the row's is like the first one's."""
+    anchor, size, first, top, alone = None, 0, None, 0, False  # of the last row so far
     for batch in batches:
         if not batch.num_rows:
             continue
         at, nodes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "node"))
-        goes_on = at[0] == anchor
+        sized = "size" in batch.schema.names
+        sizes = batch.column("size").to_numpy(zero_copy_only=False) if sized else np.zeros(len(at), np.int32)
+        goes_on = at[0] == anchor and not _too_small(sizes[0], size)
         if goes_on and alone:
-            at, nodes = np.r_[anchor, at], np.r_[first, nodes]
-        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        sizes = np.diff(np.r_[starts, len(at)])
-        lowest, more, several = nodes[starts], sizes > 2, sizes > 1
+            at, sizes, nodes = np.r_[anchor, at], np.r_[size, sizes], np.r_[first, nodes]
+        starts = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | _too_small(sizes[1:], sizes[:-1])])
+        runs = np.diff(np.r_[starts, len(at)])
+        lowest, tops, more, several = nodes[starts], sizes[starts], runs > 2, runs > 1
         if goes_on:
-            lowest[0], more[0], several[0] = first, True, True
+            lowest[0], tops[0], more[0], several[0] = first, top, True, True
         more[-1] |= several[-1]  # the last anchor may go on in the next batch
-        anchor, first, alone = at[-1], lowest[-1], not several[-1]
-        lowest, more, kept = (np.repeat(x, sizes) for x in (lowest, more, several))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array((at[kept] >> TRIPLE * _CODE).astype(np.int32)),
-                pa.array(at[kept] & (1 << TRIPLE * _CODE) - 1),
-                pa.array(nodes[kept]),
-                pa.array(lowest[kept]),
-                pa.array(more[kept]),
-            ],
-            names=["band", "key", "node", "first", "more"],
-        )
+        anchor, size, first, top, alone = at[-1], sizes[-1], lowest[-1], tops[-1], not several[-1]
+        lowest, tops, more, kept = (np.repeat(x, runs) for x in (lowest, tops, more, several))
+        columns = {
+            "band": pa.array((at[kept] >> TRIPLE * _CODE).astype(np.int32)),
+            "key": pa.array(at[kept] & (1 << TRIPLE * _CODE) - 1),
+            "node": pa.array(nodes[kept]),
+            "first": pa.array(lowest[kept]),
+            "more": pa.array(more[kept]),
+        }
+        if sized:
+            columns["like"] = pa.array(~_too_small(sizes, tops)[kept])
+        yield pa.RecordBatch.from_pydict(columns)
 
 
 def _hashed(batches):
@@ -216,7 +238,7 @@ def common(one: list[np.ndarray], many: list[np.ndarray], wanted: np.ndarray) ->
     shared = np.zeros(wanted.shape, dtype=np.int64)
     at, of = np.nonzero(wanted)
     # numbers of the hashes of each side, where the other side has them too
-    left, right = np.concatenate([*one, []]).astype(np.uint64), np.concatenate([*many, []]).astype(np.uint64)
+    left, right = (np.concatenate([np.empty(0, np.uint64), *x]) for x in (one, many))
     values = np.intersect1d(left, right)
     # a product of indicator matrices costs rows x rows x values, a pair by itself some microseconds
     if 40_000 * len(at) < wanted.size * len(values):
@@ -280,7 +302,7 @@ def _edges(a, b):
 
 
 def _at_hubs(batches):
-    """Edges of the nodes like the smallest one of their bucket, which comes first in each run."""
+    """Edges of the nodes like their hub, which comes first in each run."""
     for (hub, _), pieces in _runs(batches, ["a", "part"]):
         own = None
         for piece in pieces:
@@ -301,16 +323,33 @@ def near(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return differing <= DIFFERING
 
 
+def _before(hubs, first: int) -> np.ndarray:
+    """Those of the hubs that are smaller than this one."""
+    found = hubs.values.to_numpy(zero_copy_only=False)
+    return np.sort(found[found < first].view(np.uint64))
+
+
 def _near_another(batches):
-    """The rows of blocks whose fingerprint is near one of another component on the other side."""
+    """The rows of blocks that can be similar to one of another component on the other side, as
+    far as fingerprints, sizes and shared shingles tell, and meet it in no smaller crowd."""
 
-    def columns(piece):
-        return piece.column("component").to_numpy(zero_copy_only=False), _bits(piece.column("bits"))
+    def columns(piece, first):
+        plain = [piece.column(c).to_numpy(zero_copy_only=False) for c in ("component", "size", "shared")]
+        return *plain, _bits(piece.column("bits")), [_before(x, first) for x in piece.column("hubs")]
 
     def meet(a, b):
-        return (a[0][:, None] != b[0][None, :]) & near(a[1], b[1])
-
-    for (*_, part), pieces in _runs(batches, BLOCK_KEY):
+        both = np.minimum(a[2][:, None], b[2][None, :])
+        wanted = both >= SIMILARITY * (a[1][:, None] + b[1][None, :] - both) - 1e-9
+        wanted &= (a[0][:, None] != b[0][None, :]) & near(a[3], b[3])
+        return wanted & (common(a[4], b[4], wanted) == 0) if wanted.any() else wanted
+
+    def joined(held, first):
+        parts = zip(*(columns(x, first) for x in held), strict=True)
+        *plain, hubs = ([*x] for x in parts)
+        return *map(np.concatenate, plain), [x for y in hubs for x in y]
+
+    spent = ["size", "shared", "bits", "hubs"]
+    for (first, _, part), pieces in _runs(batches, BLOCK_KEY):
         held, closed = [], None
         for piece in pieces:
             cut = int(np.searchsorted(piece.column("streamed").to_numpy(zero_copy_only=False), 1))
@@ -318,23 +357,23 @@ def _near_another(batches):
                 held.append(piece.slice(0, cut))
             if held and cut < piece.num_rows:
                 if closed is None:
-                    closed = [np.concatenate(x) for x in zip(*map(columns, held), strict=True)]
+                    closed = joined(held, first)
                     seen = np.zeros(len(closed[0]), dtype=bool)
                 for at in range(cut, piece.num_rows, BLOCK):
                     others = piece.slice(at, BLOCK)
-                    found = meet(closed, columns(others))
+                    found = meet(closed, columns(others, first))
                     seen |= found.any(axis=1)
-                    yield others.filter(pa.array(found.any(axis=0))).drop_columns(["bits"])
+                    yield others.filter(pa.array(found.any(axis=0))).drop_columns(spent)
         if not held:
             continue
         if closed is None:
-            closed = [np.concatenate(x) for x in zip(*map(columns, held), strict=True)]
+            closed = joined(held, first)
             seen = np.zeros(len(closed[0]), dtype=bool)
         if part == 0:  # the first part compares the held nodes with each other
             seen |= meet(closed, closed).any(axis=1)
         at = 0
         for piece in held:
-            yield piece.filter(pa.array(seen[at : at + piece.num_rows])).drop_columns(["bits"])
+            yield piece.filter(pa.array(seen[at : at + piece.num_rows])).drop_columns(spent)
             at += piece.num_rows
 
 
@@ -364,13 +403,13 @@ def first_met(one: np.ndarray, many: np.ndarray, band: int, key: int) -> np.ndar
 
 
 def _at_blocks(batches):
-    """Edges that connect the components within a bucket, each pair seen in one bucket only."""
+    """Edges that connect the components within a crowd."""
 
     def columns(piece):
         plain = [piece.column(c).to_numpy(zero_copy_only=False) for c in ("node", "component")]
-        return *plain, _codes(piece.column("codes")), _sets(piece.column("hashes"))
+        return *plain, _sets(piece.column("hashes"))
 
-    def connect(held, others, band, key, parent, upper):
+    def connect(held, others, parent, upper):
         """Edges between held and other nodes that join what was apart."""
 
         def find(x):
@@ -382,12 +421,10 @@ def _at_blocks(batches):
         wanted = held[1][:, None] != others[1][None, :]
         if upper:
             wanted &= held[0][:, None] < others[0][None, :]
-        if wanted.any():
-            wanted &= first_met(held[2], others[2], band, key)
         if not wanted.any():
             return [], []
         a, b = [], []
-        for i, j in zip(*(x.tolist() for x in np.nonzero(similar(held[3], others[3], wanted))), strict=True):
+        for i, j in zip(*(x.tolist() for x in np.nonzero(similar(held[2], others[2], wanted))), strict=True):
             x, y = find(int(held[1][i])), find(int(others[1][j]))
             if x != y:
                 parent[y] = x
@@ -395,7 +432,7 @@ def _at_blocks(batches):
                 b.append(others[0][j])
         return a, b
 
-    for (band, key, _, part), pieces in _runs(batches, BLOCK_KEY):
+    for (*_, part), pieces in _runs(batches, BLOCK_KEY):
         held, parent, closed = [], {}, None
         for piece in pieces:
             streamed = piece.column("streamed").to_numpy(zero_copy_only=False)
@@ -405,15 +442,15 @@ def _at_blocks(batches):
             if held and cut < piece.num_rows:  # a block may have no nodes
                 closed = closed or _joined(held)
                 for at in range(cut, piece.num_rows, BLOCK):
-                    yield _edges(*connect(closed, columns(piece.slice(at, BLOCK)), band, key, parent, False))
+                    yield _edges(*connect(closed, columns(piece.slice(at, BLOCK)), parent, False))
         if part == 0 and held:  # the first part compares the held nodes with each other
             closed = closed or _joined(held)
-            yield _edges(*connect(closed, closed, band, key, parent, True))
+            yield _edges(*connect(closed, closed, parent, True))
 
 
 def _joined(held):
-    nodes, components_, codes, sets = zip(*held, strict=True)
-    return np.concatenate(nodes), np.concatenate(components_), np.concatenate(codes), [x for y in sets for x in y]
+    nodes, components_, sets = zip(*held, strict=True)
+    return np.concatenate(nodes), np.concatenate(components_), [x for y in sets for x in y]
 
 
 def _grouped(classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -422,44 +459,61 @@ def _grouped(classes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def _like_the_smallest(stars: DataFrame, hashes: DataFrame) -> DataFrame:
-    """The pairs (smallest node ``a`` of a bucket, ``b``) whose texts are similar."""
+def _like_the_hub(stars: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The pairs (hub ``a``, ``b``) whose texts are similar."""
     stars = stars.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(PARTS)).cast("int"))
     others = stars.join(hashes, F.col("b") == F.col("node")).select("a", "part", "b", "hashes")
     hubs = stars.select("a", "part").distinct().join(hashes, F.col("a") == F.col("node"))
-    # a null other end sorts first, so the smallest node leads its run
+    # a null other end sorts first, so the hub leads its run
     rows = others.unionByName(hubs.select("a", "part", F.lit(None).cast("long").alias("b"), "hashes"))
     rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", "b")
     return rows.mapInArrow(_at_hubs, "a long, b long")
 
 
-def _mixed(buckets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of buckets with more than one component: blocks of held nodes, and what streams past."""
-    rows = buckets.join(groups, "node").join(
+def _each_hash(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            sets = _sets(part.column("hashes"))
+            sizes = [len(x) for x in sets]
+            ends = [np.repeat(part.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("node", "component")]
+            hashes = np.concatenate([np.empty(0, "<u8"), *sets]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (*ends, hashes)], names=["node", "component", "hash"]
+            )
+
+
+def _able(members: DataFrame) -> DataFrame:
+    """The members that can be similar to one of another component, with the ``size`` of their
+    set and how many of its hashes are ``shared`` with other components at all."""
+    flat = members.select("node", "component", "hashes").mapInArrow(
+        _each_hash, "node long, component long, hash long"
+    )
+    met = flat.groupBy("hash").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    shared = flat.join(met.where("x < y").select("hash"), "hash").groupBy("node").agg(F.count("*").alias("shared"))
+    sizes = members.select("node", F.expr("octet_length(hashes) DIV 8").alias("size"))
+    return sizes.join(shared, "node").where(F.col("shared") >= SIMILARITY * F.col("size") - 1e-9)
+
+
+def _mixed(crowds: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of crowds with more than one component: blocks of held nodes, and what streams past."""
+    rows = crowds.join(groups, "node").join(
         groups.select(F.col("node").alias("first"), F.col("component").alias("core")), "first"
     )
-    rows = stored(rows.select("band", "key", "node", "component", "core"), "members")
+    rows = stored(rows.select("first", "node", "component", "core"), "members")
     apart = F.col("component") != F.col("core")
-    sizes = rows.groupBy("band", "key").agg(
+    sizes = rows.groupBy("first").agg(
         F.count_if(apart).alias("apart"),
         F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("node")).alias("x"),
-        F.min("node").alias("low"),
-        F.max("node").alias("high"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
     )
-    # buckets of the same nodes hold the same pairs, which the first of them compares
-    # of two nodes one is the smallest, with which the other is compared already
-    sizes = sizes.where("apart > 0 AND n > 2").groupBy("apart", "n", "x", "low", "high")
-    sizes = sizes.agg(F.min(F.struct("band", "key")).alias("at"))
-    sizes = sizes.select(
-        "at.band",
-        "at.key",
+    sizes = sizes.where("low < high").select(
+        "first",
         F.ceil(F.col("apart") / BLOCK).alias("blocks"),
         F.ceil(F.col("n") / (8 * BLOCK)).alias("parts"),
     )
-    rows = rows.join(sizes, ["band", "key"]).withColumn(
-        "own", F.when(apart, F.pmod(F.xxhash64("node"), "blocks"))
-    )
+    rows = rows.join(sizes, "first").withColumn("own", F.when(apart, F.pmod(F.xxhash64("node"), "blocks")))
     # a held node streams past the later blocks, any other past all of them
     start = F.coalesce(F.col("own"), F.lit(0).cast("long"))
     rows = rows.withColumn("block", F.explode(F.sequence(start, F.col("blocks") - 1)))
@@ -476,8 +530,18 @@ def _mixed(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.select(*BLOCK_KEY, "streamed", "node", "component")
 
 
-def _near_the_smallest(stars: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (smallest node ``a`` of a bucket, ``b``) whose fingerprints are near."""
+def _stars(crowds: DataFrame) -> DataFrame:
+    """The pairs (hub ``a``, ``b``) to compare first: all that meet alone, and of its larger
+    crowds each node with the ``HUBS`` smallest hubs."""
+    pairs = crowds.where("like AND node <> first")
+    hubs = pairs.where("more").groupBy(F.col("node").alias("b"))
+    hubs = hubs.agg(F.slice(F.sort_array(F.collect_set("first")), 1, HUBS).alias("a"))
+    alone = pairs.where("NOT more").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    return alone.unionByName(hubs.select(F.explode("a").alias("a"), "b"))
+
+
+def _near_the_hub(stars: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (hub ``a``, ``b``) whose fingerprints are near."""
     one = classes.select(F.col("node").alias("a"), F.col("bits").alias("x"))
     many = classes.select(F.col("node").alias("b"), F.col("bits").alias("y"))
     differing = sum(F.bit_count(F.col("x")[k].bitwiseXOR(F.col("y")[k])) for k in range(COMPARED // 64))
@@ -490,27 +554,32 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
 
 def linked(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """``node`` and ``component`` of every node: connected by similar pairs."""
-    facts = [F.any_value(c).alias(c) for c in ("bits", "codes")]
+    facts = [F.any_value(c).alias(c) for c in ("bits", "codes", "size")]
     classes = stored(rows.groupBy("node").agg(F.min("row_key").alias("row_key"), *facts), "classes")
-    anchors = classes.select("node", "codes").mapInArrow(_at_anchors, "anchor long, node long")
-    buckets = anchors.repartition("anchor").sortWithinPartitions("anchor", "node")
-    schema = "band int, key long, node long, first long, more boolean"
-    buckets = stored(buckets.mapInArrow(_shared, schema), "buckets")
+    anchors = classes.select("node", "size", "codes").mapInArrow(_at_anchors, "anchor long, size int, node long")
+    buckets = anchors.repartition("anchor").sortWithinPartitions("anchor", F.desc("size"), "node")
+    schema = "band int, key long, node long, first long, more boolean, like boolean"
+    crowds = buckets.mapInArrow(_shared, schema).groupBy("first", "node")
+    crowds = stored(crowds.agg(F.max("more").alias("more"), F.max("like").alias("like")), "crowds")
 
-    stars = buckets.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    stars = stored(_near_the_smallest(stars.distinct(), classes), "stars")
+    stars = stored(_near_the_hub(_stars(crowds), classes), "stars")
     hashes = _hashes(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, texts)
-    edges = stored(_like_the_smallest(stars, hashes), "similar")
+    edges = stored(_like_the_hub(stars, hashes), "similar")
     groups = stored(_grouped(classes, edges), "groups")
 
-    members = _mixed(buckets.where("more").drop("more"), groups).join(classes.select("node", "bits"), "node")
-    schema = "band int, key long, block long, part long, streamed int, node long, component long"
-    members = _in_blocks(members.select(*BLOCK_KEY, "streamed", "node", "component", "bits"))
-    members = stored(members.mapInArrow(_near_another, schema), "near")
-    others = members.select("node").distinct().join(hashes, "node", "left_anti")
+    crowds = crowds.where("more").select("first", "node")
+    members = stored(crowds.select("node").distinct(), "crowded")
+    others = members.join(hashes, "node", "left_anti")
     hashes = hashes.union(_hashes(others, classes, texts))
-    members = members.join(classes.select("node", "codes"), "node").join(hashes, "node")
-    more = stored(_in_blocks(members).mapInArrow(_at_blocks, "a long, b long"), "connecting")
+    able = stored(_able(members.join(groups, "node").join(hashes, "node")), "able")
+    crowds = crowds.join(able.select("node"), "node")
+    hubs = crowds.groupBy("node").agg(F.collect_set("first").alias("hubs"))  # one for each anchor at most
+    facts = able.join(hubs, "node").join(classes.select("node", "bits"), "node")
+    members = _in_blocks(_mixed(crowds, groups).join(facts, "node"))
+    schema = "first long, block long, part long, streamed int, node long, component long"
+    order = [*BLOCK_KEY, "streamed", "node", "component", "size", "shared", "bits", "hubs"]
+    members = stored(members.select(*order).mapInArrow(_near_another, schema), "near")
+    more = stored(_in_blocks(members.join(hashes, "node")).mapInArrow(_at_blocks, "a long, b long"), "connecting")
     return _grouped(classes, edges.union(more))
 
 
@@ -528,7 +597,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         row_key(id_column, text_column).alias("row_key"),
         F.col(text_column).cast("string").alias("text"),
     )
-    schema = "doc_id long, row_key string, node long, bits array<long>, codes binary"
+    schema = "doc_id long, row_key string, node long, bits array<long>, codes binary, size int"
     rows = stored(keyed.mapInArrow(_nodes, schema), "nodes")
     groups = rows.select("doc_id", "row_key", "node").join(linked(rows, keyed.select("row_key", "text")), "node")
     kept = groups.groupBy("component").agg(

@@ -232,3 +232,39 @@ def test_star_edges_keep_all_digits():
     schema = pa.schema([("a", pa.int64()), ("part", pa.int32()), ("b", pa.int64()), ("hashes", pa.binary())])
     out = list(near_copies._at_hubs([pa.RecordBatch.from_pydict(rows, schema=schema)]))
     assert [x.to_pylist() for x in out] == [[{"a": 2**60 + 1, "b": 2**62 + 3}]]
+
+
+def test_crowds_far_below_the_limit_are_not_compared_in_pairs(monkeypatch, spark):
+    """Texts that share three quarters of their words meet at many anchors; none can be similar to
+    another, as a quarter of its shingles are its own. Only the two that differ by a word go on."""
+    rng = random.Random(6)
+    common = [f"w{k}" for k in range(90)]
+    rows = [(k, " ".join(common + [f"v{rng.randint(0, 10**9)}" for _ in range(30)])) for k in range(80)]
+    rows.append((80, rows[7][1] + " end"))
+    counts = {}
+
+    def stored(df, name, write=near_copies.stored):
+        out = write(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_copies, "stored", stored)
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in rows], SCHEMA)
+    assert kept(spark, docs) == plain_kept(rows) == list(range(80))
+    assert counts["crowds"] > 10 * counts["crowded"] / 2  # they do meet
+    assert counts["members"] <= 2 * 240
+
+
+def test_anchors_are_cut_where_sizes_leave_a_gap():
+    """Sizes fall within an anchor; below 0.8 of the one before nothing can be similar."""
+    sizes = {5: [(100, 3), (90, 1), (81, 9), (64, 2), (52, 8), (9, 4)], 6: [(7, 1)], 7: [(9, 6), (9, 7), (0, 5)]}
+    rows = [(anchor, size, node) for anchor, x in sizes.items() for size, node in x]
+    wanted = [(5, 3, 3, True), (5, 1, 3, True), (5, 9, 3, True), (5, 2, 2, True), (5, 8, 2, True), (7, 6, 6, True), (7, 7, 6, True)]
+    for step in (1, 2, 3, 4, 20):
+        batches = [
+            pa.RecordBatch.from_pydict(dict(zip(("anchor", "size", "node"), map(list, zip(*rows[k : k + step], strict=True)), strict=True)))
+            for k in range(0, len(rows), step)
+        ]
+        out = [r for b in near_copies._shared(batches) for r in b.to_pylist()]
+        assert [(r["key"], r["node"], r["first"], r["like"]) for r in out] == wanted, step
+        assert all(r["more"] for r in out if r["first"] == 3)
